@@ -6,18 +6,28 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quillrun.functions import formats
+from quillrun.functions.arrays import let
 
 
 def pairs(line: Column) -> Column:
     """``key=value`` pairs of a line as a map; the last one of a key wins."""
-    keys = F.regexp_extract_all(line, F.lit(formats.PAIR), F.lit(1))
-    values = F.regexp_extract_all(line, F.lit(formats.PAIR), F.lit(2))
-    entries = F.arrays_zip(keys.alias("key"), values.alias("value"))
-    latest = F.filter(
-        entries,
-        lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"]),
+
+    def as_map(found: Column) -> Column:
+        keys = found["keys"]
+        entries = F.zip_with(
+            keys, found["values"], lambda k, v: F.struct(k.alias("key"), v.alias("value"))
+        )
+        latest = F.filter(
+            entries,
+            lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"]),
+        )
+        return F.map_from_entries(latest)
+
+    found = F.struct(
+        F.regexp_extract_all(line, F.lit(formats.PAIR), F.lit(1)).alias("keys"),
+        F.regexp_extract_all(line, F.lit(formats.PAIR), F.lit(2)).alias("values"),
     )
-    return F.map_from_entries(latest)
+    return let(found, as_map)
 
 
 def number(pair_map: Column, key: str) -> Column:
@@ -25,6 +35,11 @@ def number(pair_map: Column, key: str) -> Column:
     return F.try_element_at(pair_map, F.lit(key)).try_cast("double")
 
 
+def last_number(line: Column, key: str) -> Column:
+    """The number behind the last ``key=`` of a line, without building a map."""
+    return F.regexp_extract(line, rf"(?:^|.*[^\w.]){key}=(\S+)", 1).try_cast("double")
+
+
 def named_value(tokens: Column, name: str, default: str) -> Column:
     """The rest of the last token that starts with ``name=``."""
     mark = f"{name}="

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quillrun.functions.arrays import let
+
 # What counts as white space, a word, a line end, and the preview.
 WHITE_SPACE = r"[\s\x1c-\x1f\x85\p{Z}]+"
 WORD = r"[\p{L}\p{N}_]{2,}"
@@ -29,7 +31,7 @@ def words(text: Column) -> Column:
 
 
 def bigrams(tokens: Column) -> Column:
-    """Neighbouring tokens joined by a space."""
+    """Neighbouring tokens of an array column joined by a space."""
     n_pairs = F.greatest(F.size(tokens) - 1, F.lit(0))
     return F.zip_with(
         F.slice(tokens, F.lit(1), n_pairs),
@@ -44,9 +46,9 @@ def terms(text: Column, ngrams: tuple[int, int] = (1, 2)) -> Column:
     if ngrams == (1, 1):
         return single
     if ngrams == (2, 2):
-        return bigrams(single)
+        return let(single, bigrams)
     if ngrams == (1, 2):
-        return F.concat(single, bigrams(single))
+        return let(single, lambda tokens: F.concat(tokens, bigrams(tokens)))
     raise ValueError("ngrams must be (1, 1), (1, 2) or (2, 2)")
 
 
@@ -75,8 +77,15 @@ def preview(text: Column) -> Column:
 
 def overlap_score(query: Column, text: Column) -> Column:
     """Shared distinct tokens over the root of the product of both set sizes."""
-    left = F.array_distinct(space_tokens(query))
-    right = F.array_distinct(space_tokens(text))
-    both = F.size(F.array_intersect(left, right))
-    size = F.size(left).cast("double") * F.size(right)
-    return F.when(size > 0, both / F.sqrt(size)).otherwise(F.lit(0.0))
+
+    def score(sets: Column) -> Column:
+        left, right = sets["left"], sets["right"]
+        both = F.size(F.array_intersect(left, right))
+        size = F.size(left).cast("double") * F.size(right)
+        return F.when(size > 0, both / F.sqrt(size)).otherwise(F.lit(0.0))
+
+    sets = F.struct(
+        F.array_distinct(space_tokens(query)).alias("left"),
+        F.array_distinct(space_tokens(text)).alias("right"),
+    )
+    return let(sets, score)

@@ -74,7 +74,7 @@ def encode_variable(
     if max_len is not None:
         tokens = F.slice(tokens, 1, max_len)
     exploded = spread(texts, key, text).select(key, F.posexplode_outer(tokens).alias("pos", "term"))
-    pairs = F.array_sort(
+    pairs = F.sort_array(
         F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "term_id")))
     )
     return (
@@ -148,7 +148,7 @@ def position_ids(encoded: DataFrame, key: str, mask: str = "attention_mask") ->
     placed = encoded.select(key, F.posexplode(mask).alias("_i", "_m")).withColumn(
         "_p", F.greatest(running - 1, F.lit(0)).cast("int")
     )
-    pairs = F.array_sort(F.collect_list(F.struct("_i", "_p")))
+    pairs = F.sort_array(F.collect_list(F.struct("_i", "_p")))
     return placed.groupBy(key).agg(F.transform(pairs, lambda p: p["_p"]).alias("position_ids"))
 
 

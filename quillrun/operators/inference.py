@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def predict(
@@ -26,7 +27,7 @@ def predict(
     """
     score = predict_batch_udf(
         make_model,
-        return_type=output_type,
+        return_type=T.DataType.fromDDL(output_type),
         batch_size=batch_size,
         input_tensor_shapes=list(shapes) if shapes else None,
     )

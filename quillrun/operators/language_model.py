@@ -6,34 +6,38 @@ shuffle. Pairs are counted on the map side before they meet anything else.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillrun.functions import text as tx
+from quillrun.functions.arrays import let
 
 CONTEXT = ["context", "target"]
 
 
 def token_pairs(texts: DataFrame, text: str, n: int = 2) -> DataFrame:
     """``(context, target)``: each word with the ``n - 1`` words before it."""
-    words = tx.words(F.col(text))
     if n < 2:
         raise ValueError("n must be at least 2")
     width = n - 1
-    count = F.greatest(F.size(words) - width, F.lit(0))
-    contexts = F.slice(words, F.lit(1), count)
-    for shift in range(1, width):
-        contexts = F.zip_with(
+
+    def pairs(words: Column) -> Column:
+        count = F.greatest(F.size(words) - width, F.lit(0))
+        contexts = F.slice(words, F.lit(1), count)
+        for shift in range(1, width):
+            contexts = F.zip_with(
+                contexts,
+                F.slice(words, F.lit(shift + 1), count),
+                lambda a, b: F.concat_ws(" ", a, b),
+            )
+        return F.zip_with(
             contexts,
-            F.slice(words, F.lit(shift + 1), count),
-            lambda a, b: F.concat_ws(" ", a, b),
+            F.slice(words, F.lit(width + 1), count),
+            lambda c, t: F.struct(c.alias("context"), t.alias("target")),
         )
-    pairs = F.zip_with(
-        contexts,
-        F.slice(words, F.lit(width + 1), count),
-        lambda c, t: F.struct(c.alias("context"), t.alias("target")),
-    )
-    return texts.select(F.explode(pairs).alias("_p")).select("_p.context", "_p.target")
+
+    found = let(tx.words(F.col(text)), pairs)
+    return texts.select(F.explode(found).alias("_p")).select("_p.context", "_p.target")
 
 
 def count_pairs(texts: DataFrame, text: str, n: int = 2) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillrun.functions import text as tx
+from quillrun.functions.arrays import run_lengths
 
 MAX_FEATURES = 20_000
 # A query batch within both bounds is broadcast: at most two terms start at a
@@ -35,13 +36,16 @@ def batch_is_small(queries: DataFrame, text: str) -> bool:
 
 
 def term_counts(texts: DataFrame, key: str, text: str, ngrams=(1, 2)) -> DataFrame:
-    """``(key, term, tf)``; the output stays partitioned by the key."""
+    """``(key, term, tf)``; the terms of a text are counted inside its row.
+
+    The texts are spread by key first, and the output stays partitioned by it.
+    """
+    counts = run_lengths(tx.terms(F.col(text), ngrams))
     return (
         texts.select(key, text)
         .repartition(key)
-        .select(key, F.explode(tx.terms(F.col(text), ngrams)).alias("term"))
-        .groupBy(key, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
+        .select(key, F.explode(counts).alias("_c"))
+        .select(key, F.col("_c.value").alias("term"), F.col("_c.n").cast("long").alias("tf"))
     )
 
 
@@ -66,17 +70,13 @@ def tfidf_weights(
 ) -> DataFrame:
     """``(key, term, weight)``: tf times idf, each text scaled to length 1.
 
-    Terms outside the fitted space drop out before they are counted. The fitted
-    space carries its row limit, from which Catalyst decides about a broadcast.
+    Terms outside the fitted space drop out. That space carries its row limit, from
+    which Catalyst decides about a broadcast.
     """
     known = (
-        texts.select(key, text)
-        .repartition(key)
-        .select(key, F.explode(tx.terms(F.col(text), ngrams)).alias("term"))
+        term_counts(texts, key, text, ngrams)
         .join(fitted.select("term", "idf"), "term")
-        .groupBy(key, "term", "idf")
-        .agg(F.count(F.lit(1)).alias("tf"))
-        .withColumn("_w", F.col("tf") * F.col("idf"))
+        .select(key, "term", (F.col("tf") * F.col("idf")).alias("_w"))
     )
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
     return known.select(key, "term", (F.col("_w") / norm).alias("weight"))

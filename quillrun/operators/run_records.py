@@ -122,12 +122,21 @@ def pair_records(lines: DataFrame) -> DataFrame:
 
 def training_curve(lines: DataFrame) -> DataFrame:
     """Loss, gradient norm, learning rate and epoch by rank and step."""
-    pairs = F.col("pairs")
-    found = pair_records(lines).filter(F.map_contains_key(pairs, "loss"))
+    keep = [c for c in lines.columns if c != "line"]
     values = [
-        ln.number(pairs, key).alias(key) for key in ("loss", "grad_norm", "learning_rate", "epoch")
+        ln.last_number(F.col("line"), key).alias(key)
+        for key in ("loss", "grad_norm", "learning_rate", "epoch")
     ]
-    return found.select(*[c for c in found.columns if c != "pairs"], *values)
+    return (
+        lines.filter(F.col("line").rlike(formats.RANK_STEP))
+        .select(
+            *keep,
+            F.regexp_extract("line", formats.RANK_STEP, 1).try_cast("int").alias("rank"),
+            F.regexp_extract("line", formats.RANK_STEP, 2).try_cast("bigint").alias("step"),
+            *values,
+        )
+        .filter(F.col("loss").isNotNull())
+    )
 
 
 def latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -90,7 +90,7 @@ def missing_summary(ranks: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     missing = missing_ranks(ranks, by)
     counts = missing.groupBy(*by).agg(F.count(F.lit(1)).alias("n_missing"))
     numbers = F.transform(
-        F.array_sort(F.collect_list("rank")), lambda r: r.cast("string")
+        F.sort_array(F.collect_list("rank")), lambda r: r.cast("string")
     )
     shown = (
         first_rows(missing, by, ["rank"], SHOWN_RANKS, "_place")

@@ -30,7 +30,7 @@ def contexts(
     """
     passages = corpus.select(F.col(key).alias("doc_id"), F.col(text).alias("_passage"))
     found = F.broadcast(hits) if small else hits
-    ranked = F.array_sort(F.collect_list(F.struct("rank", "_passage")))
+    ranked = F.sort_array(F.collect_list(F.struct("rank", "_passage")))
     marked = F.transform(ranked, lambda hit: F.concat(F.lit(PASSAGE_MARK), hit["_passage"]))
     return (
         passages.join(found.select("query_id", "rank", "doc_id"), "doc_id")
