@@ -109,17 +109,6 @@ def arg_max(spark, folder):
 CLASSES, WIDTH = 10, 64
 
 
-def linear_model():
-    """Scores of a linear layer whose weights follow a rule."""
-    c, j = np.arange(CLASSES)[:, None], np.arange(WIDTH)[None, :]
-    weights = ((c * 7 + j * 3) % 11 - 5) / 10.0
-
-    def score(batch: np.ndarray) -> np.ndarray:
-        return batch.astype(np.float64) @ weights.T
-
-    return score
-
-
 @register(
     "q_53_batch_inference",
     f"""
@@ -135,6 +124,13 @@ FROM scored
 """,
 )
 def batch_inference(spark, folder):
+    """Scores of a linear layer whose weights follow a rule, made once per worker."""
+
+    def linear_model():
+        c, j = np.arange(CLASSES)[:, None], np.arange(WIDTH)[None, :]
+        weights = ((c * 7 + j * 3) % 11 - 5) / 10.0
+        return lambda batch: batch.astype(np.float64) @ weights.T
+
     scored = inference.predict(
         table(spark, folder, "embeddings").select("vec_id", "embedding"),
         linear_model,
@@ -248,42 +244,41 @@ def best_epoch(spark, folder):
     )
 
 
-def count_characters(frame: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame(
-        {
-            "doc_id": frame["doc_id"],
-            "n_chars": frame["text"].str.len(),
-            "n_spaces": frame["text"].str.count(" "),
-        }
-    )
-
-
 @register(
     "q_96_map_batches",
     "SELECT doc_id, length(text) AS n_chars, length(text) - length(replace(text, ' ', '')) "
     "AS n_spaces FROM documents",
 )
 def map_batches(spark, folder):
+    def count_characters(frame: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(
+            {
+                "doc_id": frame["doc_id"],
+                "n_chars": frame["text"].str.len(),
+                "n_spaces": frame["text"].str.count(" "),
+            }
+        )
+
     docs = _docs(spark, folder).select("doc_id", "text")
     return inference.map_batches(
         docs, count_characters, "doc_id bigint, n_chars bigint, n_spaces bigint", batch_size=64
     )
 
 
-def add_accuracy_batch(frame: pd.DataFrame) -> dict[str, float]:
-    return {"correct": float((frame["quality"] == frame["gold"]).sum()), "total": len(frame)}
-
-
 @register(
     "q_97_batched_metric",
     "SELECT round(count(*) FILTER (WHERE quality = 1 - toxic) / count(*)::DOUBLE, 6) AS accuracy "
     "FROM labels",
 )
 def batched_metric(spark, folder):
+    def add_batch(frame: pd.DataFrame) -> dict[str, float]:
+        hits = (frame["quality"] == frame["gold"]).sum()
+        return {"correct": float(hits), "total": float(len(frame))}
+
     labels = table(spark, folder, "labels").select(
         "quality", (1 - F.col("toxic")).alias("gold")
     )
     ratio = F.round(F.col("correct") / F.greatest(F.col("total"), F.lit(1.0)), 6)
     return inference.batched_metric(
-        labels, add_accuracy_batch, ["correct", "total"], ratio, "accuracy", batch_size=64
+        labels, add_batch, ["correct", "total"], ratio, "accuracy", batch_size=64
     )
