@@ -90,22 +90,22 @@ def read_corpus(
     vocab_size: int | None = None,
     key: str = "id",
 ) -> DataFrame:
-    """Token table of a path: taken as it is when encoded, else encoded from lines.
+    """Token table of a path: taken as it is when encoded, else encoded here.
 
-    A Parquet table with ids and mask is used directly. Anything else is read as one
-    text per line; without ``vocab`` the vocabulary is fitted on these lines.
+    A Parquet table with ids and mask is used directly; one with ``key`` and ``text``
+    is encoded. Anything else is read as one text per line. Without ``vocab`` the
+    vocabulary is fitted on these texts.
     """
     try:
-        stored = spark.read.parquet(path)
-        if encoding.is_encoded(stored):
-            return stored
-    except AnalysisException:
-        pass  # not a Parquet table
-    numbered = with_line_numbers(read_lines(spark, path))
-    texts = numbered.select(
-        F.concat_ws(":", "file", F.col("line_no").cast("string")).alias(key),
-        F.col("line").alias("text"),
-    )
+        texts = spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
+        if encoding.is_encoded(texts):
+            return texts
+    except AnalysisException:  # no Parquet files there
+        numbered = with_line_numbers(read_lines(spark, path))
+        texts = numbered.select(
+            F.concat_ws(":", "file", F.col("line_no").cast("string")).alias(key),
+            F.col("line").alias("text"),
+        )
     if vocab is None:
         vocab_size = vocab_size or 20_000
         vocab = encoding.fit_vocab(texts, "text", vocab_size)
