@@ -57,7 +57,9 @@ def class_name(label: Column, names: Sequence[str]) -> Column:
 
 def next_token_labels(ids: Column, n_real: Column, ignore: int = -100) -> Column:
     """For place t the token at t+1; places whose target is padding get ``ignore``."""
-    return F.transform(
-        ids,
-        lambda _, t: F.when(t + 1 < n_real, F.get(ids, t + 1)).otherwise(F.lit(ignore)),
+    return let(
+        n_real,
+        lambda n: F.transform(
+            ids, lambda _, t: F.when(t + 1 < n, F.get(ids, t + 1)).otherwise(F.lit(ignore))
+        ),
     )

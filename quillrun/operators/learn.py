@@ -26,11 +26,12 @@ def fit_text_classifier(
 
     Rows stay where they are; each step sums the gradients of all partitions in a
     tree. What reaches the driver is the vocabulary and the weights, both bounded by
-    ``vocab_size``.
+    ``vocab_size``. Rows without a class are left out of the training, and the model
+    needs no class column when it is applied.
     """
     stages = [
         StringIndexer(
-            inputCol=label, outputCol="_label", stringOrderType="alphabetAsc", handleInvalid="keep"
+            inputCol=label, outputCol="_label", stringOrderType="alphabetAsc", handleInvalid="skip"
         ),
         RegexTokenizer(inputCol=text, outputCol="_words", pattern=tx.WORD, gaps=False),
         CountVectorizer(inputCol="_words", outputCol="_counts", vocabSize=vocab_size),
@@ -44,11 +45,9 @@ def fit_text_classifier(
             regParam=reg,
         ),
     ]
-    model = Pipeline(stages=stages).fit(df)
-    names = IndexToString(
-        inputCol="prediction", outputCol="predicted", labels=model.stages[0].labels
-    )
-    return PipelineModel(stages=[*model.stages, names])
+    indexer, *rest = Pipeline(stages=stages).fit(df).stages
+    names = IndexToString(inputCol="prediction", outputCol="predicted", labels=indexer.labels)
+    return PipelineModel(stages=[*rest, names])
 
 
 def classify(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quillrun.functions import arrays, text as tx
 from quillrun.operators import encoding, shards, slices
 from quillrun.operators.positions import with_row_index
-from quillrun.sources.tables import labeled_texts, table
+from quillrun.sources.tables import labeled_texts, table, widened
 
 MAX_LEN = 128
 VOCAB = 20_000
@@ -32,6 +32,11 @@ def _docs(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents")
 
 
+def _texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Document texts for costly work on each row."""
+    return widened(_docs(spark, folder).select("doc_id", "text"))
+
+
 def _digest(tokens) -> list:
     """Length, distinct count and hash of a token array: one short row per text."""
     return [
@@ -68,7 +73,7 @@ lines AS (
     "SELECT key AS doc_id, line_no::BIGINT AS line_no, line FROM lines",
 )
 def line_scan(spark, folder):
-    lines = slices.explode_lines(_docs(spark, folder).select("doc_id", "text"), "text")
+    lines = slices.explode_lines(_texts(spark, folder), "text")
     return lines.withColumn("line_no", F.col("line_no").cast("long"))
 
 
@@ -154,9 +159,9 @@ SQL_SPACE_TOKENS = (
     f"WHERE len({SQL_WORDS}) > 0",
 )
 def non_empty(spark, folder):
-    words = tx.words(F.col("text"))
-    return slices.non_empty(_docs(spark, folder), words).select(
-        "doc_id", F.size(words).cast("long").alias("n_words")
+    counted = _texts(spark, folder).select("doc_id", tx.words(F.col("text")).alias("words"))
+    return slices.non_empty(counted, F.col("words")).select(
+        "doc_id", F.size("words").cast("long").alias("n_words")
     )
 
 
@@ -288,7 +293,7 @@ def split(spark, folder):
     "FROM documents",
 )
 def normalize(spark, folder):
-    return _docs(spark, folder).select("doc_id", tx.normalize(F.col("text")).alias("norm_text"))
+    return _texts(spark, folder).select("doc_id", tx.normalize(F.col("text")).alias("norm_text"))
 
 
 def _digest_sql(tokens: str, source: str = "documents", key: str = "doc_id") -> str:
@@ -300,12 +305,12 @@ def _digest_sql(tokens: str, source: str = "documents", key: str = "doc_id") ->
 
 @register("q_26a_space_tokens", _digest_sql(SQL_SPACE_TOKENS))
 def space_tokens(spark, folder):
-    return _docs(spark, folder).select("doc_id", *_digest(tx.space_tokens(F.col("text"))))
+    return _texts(spark, folder).select("doc_id", *_digest(tx.space_tokens(F.col("text"))))
 
 
 @register("q_26b_words", _digest_sql(SQL_WORDS))
 def words(spark, folder):
-    return _docs(spark, folder).select("doc_id", *_digest(tx.words(F.col("text"))))
+    return _texts(spark, folder).select("doc_id", *_digest(tx.words(F.col("text"))))
 
 
 SQL_VOCAB = f"""
@@ -318,7 +323,7 @@ vocab AS (
 
 
 def _vocab(spark, folder) -> DataFrame:
-    return encoding.fit_vocab(_docs(spark, folder), "text", VOCAB)
+    return encoding.fit_vocab(_texts(spark, folder), "text", VOCAB)
 
 
 @register(
@@ -448,4 +453,4 @@ SQL_TERMS = (
     _digest_sql(SQL_TERMS, f"(SELECT doc_id, {SQL_WORDS} AS w FROM documents)"),
 )
 def ngrams(spark, folder):
-    return _docs(spark, folder).select("doc_id", *_digest(tx.terms(F.col("text"))))
+    return _texts(spark, folder).select("doc_id", *_digest(tx.terms(F.col("text"))))

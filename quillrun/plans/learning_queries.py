@@ -10,7 +10,7 @@ from quillrun.functions import arrays
 from quillrun.operators import evaluation, inference, language_model, learn
 from quillrun.operators.shards import split_name
 from quillrun.plans.corpus_queries import QUALITY_NAMES, SHARES, SQL_WORDS, TOXIC_NAMES
-from quillrun.sources.tables import table
+from quillrun.sources.tables import table, widened
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -30,17 +30,22 @@ def _docs(spark, folder):
     return table(spark, folder, "documents").select("doc_id", "text", "lang")
 
 
+def _texts(spark, folder):
+    """Documents for costly work on each row."""
+    return widened(_docs(spark, folder))
+
+
 @register("q_47_text_classifier")
 def text_classifier(spark, folder):
     """Trained on the train split, applied to all documents."""
-    docs = _docs(spark, folder).withColumn("split", split_name(F.col("doc_id"), SHARES))
+    docs = _texts(spark, folder).withColumn("split", split_name(F.col("doc_id"), SHARES))
     model = learn.fit_text_classifier(docs.filter(F.col("split") == "train"), "text", "lang")
     return learn.classify(model, docs, ["doc_id", "split", "lang"])
 
 
 @register("q_48_transfer_head")
 def transfer_head(spark, folder):
-    vectors = table(spark, folder, "embeddings")
+    vectors = widened(table(spark, folder, "embeddings"))
     model = learn.fit_head(vectors, "embedding", "label")
     return learn.predict_head(model, vectors, "embedding", ["vec_id", "label"])
 
@@ -66,7 +71,7 @@ def _words_sql(source: str) -> str:
     "FROM pairs JOIN contexts USING (context)",
 )
 def ngram_model(spark, folder):
-    return language_model.fit_ngram_lm(_docs(spark, folder), "text").withColumn(
+    return language_model.fit_ngram_lm(_texts(spark, folder), "text").withColumn(
         "p", F.round("p", 9)
     )
 
@@ -85,7 +90,7 @@ def ngram_model(spark, folder):
     "SELECT n_pairs, round(ce, 6) AS cross_entropy, round(exp(ce), 4) AS perplexity FROM loss",
 )
 def perplexity(spark, folder):
-    docs = _docs(spark, folder).withColumn("split", split_name(F.col("doc_id"), SHARES))
+    docs = _texts(spark, folder).withColumn("split", split_name(F.col("doc_id"), SHARES))
     parts = [docs.filter(F.col("split") == s).select("text") for s in ("train", "test")]
     return language_model.evaluate_ngram_lm(*parts, "text").select(
         "n_pairs",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quillrun.plans import rendering
 from quillrun.plans.run_log_queries import SQL_EVENTS
 from quillrun.session import shared_folder
-from quillrun.sources.tables import table
+from quillrun.sources.tables import table, widened
 from quillrun.streaming import live
 
 QUERIES: dict = {}
@@ -25,7 +25,7 @@ def register(name: str, sql: str | None = None):
 
 
 def _lines(spark, folder):
-    return rendering.run_lines(table(spark, folder, "events"))
+    return rendering.run_lines(widened(table(spark, folder, "events")))
 
 
 def _streamed(spark, folder, job):

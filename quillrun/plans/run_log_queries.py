@@ -13,7 +13,7 @@ from quillrun.operators import run_records as rec
 from quillrun.operators import run_reports as rep
 from quillrun.plans import rendering
 from quillrun.plans.run_report import run_report
-from quillrun.sources.tables import table
+from quillrun.sources.tables import table, widened
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -33,8 +33,13 @@ def _events(spark, folder):
     return table(spark, folder, "events")
 
 
+def _many(spark, folder):
+    """Events for costly work on each row."""
+    return widened(_events(spark, folder))
+
+
 def _lines(spark, folder):
-    return rendering.run_lines(_events(spark, folder))
+    return rendering.run_lines(_many(spark, folder))
 
 
 def _records(spark, folder, kind):
@@ -180,7 +185,7 @@ def _long(df, *columns):
     "AS epoch, 4::BIGINT AS n_pairs FROM events",
 )
 def pair_lines(spark, folder):
-    found = rec.pair_records(rendering.pair_lines(_events(spark, folder)))
+    found = rec.pair_records(rendering.pair_lines(_many(spark, folder)))
     keys = ["loss", "grad_norm", "learning_rate", "epoch"]
     return found.select(
         "pos",
@@ -252,12 +257,12 @@ def failure_lines(spark, folder):
 
 @register("q_66_preflight_latest", _sql("SELECT job, host, proj, pkgs FROM preflight_status"))
 def preflight_latest(spark, folder):
-    found = rec.preflight_records(rendering.preflight_lines(_events(spark, folder)))
+    found = rec.preflight_records(rendering.preflight_lines(_many(spark, folder)))
     return rep.preflight_status(found, ["job"]).drop("status")
 
 
 def _phases(spark, folder):
-    return rec.records(rendering.phase_lines(_events(spark, folder)), "phase")
+    return rec.records(rendering.phase_lines(_many(spark, folder)), "phase")
 
 
 @register("q_67_phase_lines", _sql("SELECT job, rank, phase, seconds FROM phases"))
@@ -271,7 +276,7 @@ def phase_lines(spark, folder):
     "event_id AS step, value AS seconds FROM events",
 )
 def host_steps(spark, folder):
-    found = rec.records(rendering.host_step_lines(_events(spark, folder)), "host_step")
+    found = rec.records(rendering.host_step_lines(_many(spark, folder)), "host_step")
     return _long(found.select("pos", "host", "rank", "step", "seconds"), "rank")
 
 
@@ -375,7 +380,7 @@ def version_drift(spark, folder):
     ),
 )
 def preflight_summary(spark, folder):
-    found = rec.preflight_records(rendering.preflight_lines(_events(spark, folder)))
+    found = rec.preflight_records(rendering.preflight_lines(_many(spark, folder)))
     return rep.preflight_totals(found, ["job"])
 
 
@@ -519,7 +524,7 @@ SELECT job, section, key, round(value::DOUBLE, 6) AS value FROM (
 
 @register("q_82_run_report", _sql(SQL_REPORT))
 def whole_report(spark, folder):
-    events = _events(spark, folder)
+    events = _many(spark, folder)
     report = run_report(
         rendering.run_lines(events).drop("ts"),
         rendering.preflight_lines(events),
@@ -630,7 +635,7 @@ def slowest_rank(spark, folder):
 
 
 def _curve(spark, folder):
-    return rec.training_curve(rendering.pair_lines(_events(spark, folder)))
+    return rec.training_curve(rendering.pair_lines(_many(spark, folder)))
 
 
 @register(

@@ -17,12 +17,14 @@ def store_records(lines: DataFrame, folder: str | None = None) -> DataFrame:
     """Parse all lines once and keep the matches, partitioned by kind.
 
     The log is read a single time; each section of a report then reads only the
-    files of its own kind. Without ``folder`` they go to the shared folder.
+    files of its own kind. Rebalancing splits a frequent kind over tasks and joins
+    the rare ones, so that files are neither huge nor many. Without ``folder`` they
+    go to the shared folder.
     """
     spark = lines.sparkSession
     path = folder or shared_folder(spark, "run-records")
     matches = rec.all_records(lines, REPORT_KINDS)
-    matches.write.mode("overwrite").partitionBy("kind").parquet(path)
+    matches.hint("rebalance", "kind").write.mode("overwrite").partitionBy("kind").parquet(path)
     return spark.read.schema(matches.schema).parquet(path)
 
 

@@ -16,10 +16,9 @@ def write_rank_text(
 ) -> None:
     """Log lines as text, one folder per rank; appended unless ``truncate``.
 
-    One file per rank and task: a rank with a third of all lines is written by all
-    tasks that hold its lines.
+    Lines are gathered by rank first, so that each task does not open a file for every
+    rank; a rank with very many lines is split again over several tasks.
     """
     mode = "overwrite" if truncate else "append"
-    df.select(F.col(rank).alias("rank"), F.col(line).alias("value")).write.partitionBy(
-        "rank"
-    ).mode(mode).text(path)
+    lines = df.select(F.col(rank).alias("rank"), F.col(line).alias("value"))
+    lines.hint("rebalance", "rank").write.partitionBy("rank").mode(mode).text(path)
