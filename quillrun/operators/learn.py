@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, CountVectorizer, IndexToString, RegexTokenizer, StringIndexer
+from pyspark.ml.feature import IDF, CountVectorizer, IndexToString, SQLTransformer, StringIndexer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +33,10 @@ def fit_text_classifier(
         StringIndexer(
             inputCol=label, outputCol="_label", stringOrderType="alphabetAsc", handleInvalid="skip"
         ),
-        RegexTokenizer(inputCol=text, outputCol="_words", pattern=tx.WORD, gaps=False),
+        SQLTransformer(
+            statement=f"SELECT *, regexp_extract_all(lower(`{text}`), r'{tx.WORD}', 0) AS _words "
+            "FROM __THIS__"
+        ),
         CountVectorizer(inputCol="_words", outputCol="_counts", vocabSize=vocab_size),
         IDF(inputCol="_counts", outputCol="_features"),
         LogisticRegression(
