@@ -82,7 +82,9 @@ def evaluate_ngram_lm(
     contexts = seen.groupBy("context").agg(F.sum("n_pair").alias("n_context"))
     words = vocabulary_size(train, text).scalar()
     asked = count_pairs(held_out, text, n).withColumnRenamed("n_pair", "n_asked")
-    p = (F.coalesce("n_pair", F.lit(0)) + k) / (F.coalesce("n_context", F.lit(0)) + k * words)
+    p = F.try_divide(
+        F.coalesce("n_pair", F.lit(0)) + k, F.coalesce("n_context", F.lit(0)) + k * words
+    )
     return (
         asked.join(seen, CONTEXT, "left")
         .join(contexts, "context", "left")

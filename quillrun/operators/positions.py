@@ -7,6 +7,8 @@ inside their range, and the sizes of the earlier ranges are added.
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -32,7 +34,27 @@ def _as_double(df: DataFrame, key: str) -> Column:
         number = F.col(key)
     else:
         raise TypeError(f"leading order key {key!r} must be numeric or a time, not {kind}")
-    return F.coalesce(number.cast("double"), F.lit(float("nan")))
+    # Adding zero makes one value of both zeros, as the sort order has it.
+    return F.coalesce(number.cast("double") + F.lit(0.0), F.lit(float("nan")))
+
+
+def _cuts(wide: DataFrame, columns: Sequence[str], n: int) -> list[list[float]]:
+    """Quantiles of several columns in one pass; a frequent value repeats among them."""
+    if n < 2:
+        return [[] for _ in columns]
+    shares = [i / n for i in range(1, n)]
+    found = wide.select(*columns).approxQuantile(list(columns), shares, 1 / (2 * n))
+    return [[c for c in cuts if math.isfinite(c)] for cuts in found]
+
+
+def _bucketed(
+    wide: DataFrame, columns: Sequence[str], cuts: Sequence[Sequence[float]], outputs: Sequence[str]
+) -> DataFrame:
+    splits = [[-math.inf, *(sorted(set(c)) or [0.0]), math.inf] for c in cuts]
+    ranged = Bucketizer(
+        splitsArray=splits, inputCols=list(columns), outputCols=list(outputs), handleInvalid="keep"
+    ).transform(wide)
+    return ranged.withColumns({o: F.col(o).cast("int") for o in outputs}).drop(*columns)
 
 
 def with_ranges(
@@ -43,19 +65,51 @@ def with_ranges(
     NULL and NaN share the last range. Only the cut points, at most ``n_ranges``
     numbers per key, come back to the driver.
     """
-    n = n_ranges or range_count(df)
     doubles = [f"_double_{i}" for i in range(len(keys))]
     wide = df.withColumns({d: _as_double(df, k) for d, k in zip(doubles, keys)})
-    shares = [i / n for i in range(1, n)]
-    cuts = wide.select(*doubles).approxQuantile(doubles, shares, 1 / (2 * n)) if shares else []
-    splits = []
-    for i in range(len(keys)):
-        inner = sorted({c for c in (cuts[i] if cuts else []) if abs(c) != float("inf")}) or [0.0]
-        splits.append([-float("inf"), *inner, float("inf")])
-    ranged = Bucketizer(
-        splitsArray=splits, inputCols=doubles, outputCols=list(outputs), handleInvalid="keep"
-    ).transform(wide)
-    return ranged.withColumns({o: F.col(o).cast("int") for o in outputs}).drop(*doubles)
+    cuts = _cuts(wide, doubles, n_ranges or range_count(df))
+    return _bucketed(wide, doubles, cuts, outputs)
+
+
+def _is_exact(df: DataFrame, key: str) -> bool:
+    """Whether small values of a key are the same as doubles."""
+    return not isinstance(df.schema[key].dataType, T.DecimalType)
+
+
+def _is_orderable(df: DataFrame, key: str) -> bool:
+    kinds = (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType)
+    return isinstance(df.schema[key].dataType, kinds)
+
+
+def _with_order_ranges(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+    """Add ``_range`` of the first key and ``_part`` within it.
+
+    A value that holds several quantiles of the first key gets a range of its own,
+    cut further by the second key into as many parts as quantiles it holds, so one
+    frequent value is not one task. There are at most about ``2 n`` parts in all.
+    """
+    first, *rest = keys
+    wide = df.withColumn("_double_0", _as_double(df, first))
+    splittable = bool(rest) and _is_exact(df, first) and _is_orderable(df, rest[0])
+    if not splittable:
+        cuts = _cuts(wide, ["_double_0"], n)
+        return _bucketed(wide, ["_double_0"], cuts, ["_range"]).withColumn("_part", F.lit(0))
+    wide = wide.withColumn("_double_1", _as_double(df, rest[0]))
+    cuts, inner = _cuts(wide, ["_double_0", "_double_1"], n)
+    hot = {v: m for v, m in Counter(cuts).items() if m > 1 and abs(v) < 2**53}
+    cuts = sorted({*cuts, *(math.nextafter(v, math.inf) for v in hot)})
+    ranged = _bucketed(wide, ["_double_0", "_double_1"], [cuts, inner], ["_range", "_inner"])
+    if not hot:
+        return ranged.withColumn("_part", F.lit(0)).drop("_inner")
+    parts = df.sparkSession.createDataFrame(
+        [(cuts.index(v) + 1, m) for v, m in hot.items()], "_range int, _parts int"
+    )
+    part = F.floor(F.col("_inner") * F.col("_parts") / (n + 1)).cast("int")
+    return (
+        ranged.join(F.broadcast(parts), "_range", "left")
+        .withColumn("_part", F.coalesce(part, F.lit(0)))
+        .drop("_inner", "_parts")
+    )
 
 
 def with_row_index(
@@ -69,18 +123,19 @@ def with_row_index(
 
     ``order`` must be unique over the rows and led by a number or a time. One
     shuffle of the rows by range, one small count per range; the broadcast side has
-    at most ``n_ranges`` rows. ``total`` names a column for the row count.
+    at most about twice ``n_ranges`` rows. ``total`` names a column for the row count.
     """
     keys = [order] if isinstance(order, str) else list(order)
-    ranged = with_ranges(df, keys[:1], ["_range"], n_ranges)
-    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
-    by_range = Window.orderBy("_range")
+    part = ["_range", "_part"]
+    ranged = _with_order_ranges(df, keys, n_ranges or range_count(df))
+    sizes = ranged.groupBy(*part).agg(F.count(F.lit(1)).alias("_size"))
+    in_order = Window.orderBy(*part)
     starts = sizes.select(
-        "_range",
-        (F.sum("_size").over(by_range) - F.col("_size")).alias("_start"),
+        *part,
+        (F.sum("_size").over(in_order) - F.col("_size")).alias("_start"),
         F.sum("_size").over(Window.partitionBy()).alias("_total"),
     )
-    inside = Window.partitionBy("_range").orderBy(*[F.col(k).asc_nulls_last() for k in keys])
+    inside = Window.partitionBy(*part).orderBy(*[F.col(k).asc_nulls_last() for k in keys])
     placed = ranged.withColumn("_place", F.row_number().over(inside))
     columns = [
         *df.columns,
@@ -88,7 +143,7 @@ def with_row_index(
     ]
     if total:
         columns.append(F.col("_total").alias(total))
-    return placed.join(F.broadcast(starts), "_range").select(*columns)
+    return placed.join(F.broadcast(starts), part).select(*columns)
 
 
 def with_previous(

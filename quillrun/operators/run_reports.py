@@ -151,9 +151,9 @@ def step_percentiles(steps: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def derived_throughput(
     steps: DataFrame, batch_size: int, world: int | Column, seq_len: int
 ) -> DataFrame:
-    """Samples and tokens per second from step times."""
+    """Samples and tokens per second from step times; a step of no time has no rate."""
     world = F.lit(world) if isinstance(world, int) else world
-    samples = world * batch_size / (F.col("step_ms") / 1000.0)
+    samples = F.try_divide(world * batch_size, F.col("step_ms") / 1000.0)
     return steps.withColumns(
         {"derived_samples_per_sec": samples, "derived_tokens_per_sec": samples * seq_len}
     )
@@ -318,10 +318,9 @@ def scaling(times: DataFrame) -> DataFrame:
     )
     first_time = mean.agg(F.min_by("mean_seconds", "nnodes")).scalar()
     first_nodes = mean.agg(F.min("nnodes")).scalar()
-    speedup = first_time / F.col("mean_seconds")
-    return mean.withColumns(
-        {"speedup": speedup, "efficiency": speedup * first_nodes / F.col("nnodes")}
-    )
+    speedup = F.try_divide(first_time, F.col("mean_seconds"))
+    efficiency = F.try_divide(speedup * first_nodes, F.col("nnodes"))
+    return mean.withColumns({"speedup": speedup, "efficiency": efficiency})
 
 
 def phase_breakdown(phases: DataFrame, by: Sequence[str] = ("job",)) -> DataFrame:

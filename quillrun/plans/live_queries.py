@@ -45,7 +45,7 @@ def _streamed(spark, folder, job):
 def _shown(df, *rounded):
     times = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("start", "end")}
     shown = df.withColumns(times).withColumnsRenamed({"start": "w_start", "end": "w_end"})
-    return shown.withColumns({c: F.round(c, 4) for c in rounded})
+    return shown.withColumns({c: F.round(c, 8) for c in rounded})
 
 
 RATES = ("mean_step_ms", "mean_samples_per_sec", "mean_tokens_per_sec")
@@ -57,9 +57,9 @@ def _throughput_sql(width: str, closed: bool) -> str:
     return f"""
 WITH {SQL_EVENTS.rstrip()}
 SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS w_start, strftime({end}, '%Y-%m-%d %H:%M:%S') AS w_end,
-  rank, count(*) AS n_steps, round(avg(step_ms), 4) AS mean_step_ms,
-  round(avg(samples_per_sec), 4) AS mean_samples_per_sec,
-  round(avg(tokens_per_sec), 4) AS mean_tokens_per_sec
+  rank, count(*) AS n_steps, round(avg(step_ms), 8) AS mean_step_ms,
+  round(avg(samples_per_sec), 8) AS mean_samples_per_sec,
+  round(avg(tokens_per_sec), 8) AS mean_tokens_per_sec
 FROM (SELECT *, date_trunc('{width}', ts) AS s FROM steps) {where} GROUP BY s, rank
 """
 

@@ -411,8 +411,9 @@ def job_percentiles(spark, folder):
 @register(
     "q_77_derived_throughput",
     _sql(
-        "SELECT job, step, round(8 * 2 / (step_ms / 1000), 4) AS derived_samples_per_sec, "
-        "round(8 * 2 / (step_ms / 1000) * 128, 4) AS derived_tokens_per_sec FROM steps"
+        "SELECT job, step, round(s, 4) AS derived_samples_per_sec, "
+        "round(s * 128, 4) AS derived_tokens_per_sec "
+        "FROM (SELECT job, step, 8 * 2 / (nullif(step_ms, 0) / 1000) AS s FROM steps)"
     ),
 )
 def derived_throughput(spark, folder):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def get_session(app: str = "quillrun", master: str | None = None, **conf: str) -> SparkSession:
@@ -45,12 +45,3 @@ def shared_folder(spark: SparkSession, name: str) -> str:
             root = tempfile.mkdtemp(prefix="quillrun-")
             spark.conf.set("quillrun.local.folder", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """True when the table is proven to hold at most ``max_rows`` rows.
-
-    The limit stops the count early, so the check itself stays cheap on a large
-    table.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows

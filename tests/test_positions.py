@@ -28,6 +28,28 @@ def test_row_index_with_skewed_leading_key_and_nulls(spark):
     assert [r.b for r in placed[1:201]] == list(range(200))
 
 
+def test_a_frequent_leading_value_is_cut_by_the_next_key(spark):
+    data = [(7, i) for i in range(300)] + [(i, 5000 + i) for i in range(300) if i != 7]
+    random.Random(4).shuffle(data)
+    df = spark.createDataFrame(data, "a long, b long").repartition(4)
+    ranged = positions._with_order_ranges(df, ["a", "b"], 20)
+    sizes = [r["count"] for r in ranged.groupBy("_range", "_part").count().collect()]
+    assert max(sizes) < 120 and sum(sizes) == len(data)
+    placed = positions.with_row_index(df, ["a", "b"], n_ranges=20).collect()
+    got = [(r.a, r.b) for r in sorted(placed, key=lambda r: r.row_index)]
+    assert got == sorted(data)
+    assert sorted(r.row_index for r in placed) == list(range(len(data)))
+
+
+def test_both_zeros_are_one_value(spark):
+    data = [(z, i) for i in range(40) for z in (-0.0, 0.0)] + [(-1.0, 1), (1.0, 1)]
+    data = [(a, i) for i, (a, _) in enumerate(data)]
+    df = spark.createDataFrame(data, "a double, b long")
+    placed = positions.with_row_index(df, ["a", "b"], n_ranges=8).collect()
+    got = [r.b for r in sorted(placed, key=lambda r: r.row_index)]
+    assert got == [80, *range(80), 81]
+
+
 def test_row_index_of_empty_and_time_keys(spark):
     empty = spark.createDataFrame([], "k long")
     assert positions.with_row_index(empty, "k").count() == 0

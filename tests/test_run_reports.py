@@ -194,6 +194,13 @@ def test_scaling_against_the_smallest(spark):
     assert got[20].efficiency == pytest.approx(2.0 * 5 / 20)
 
 
+def test_derived_throughput_without_time(spark):
+    steps = spark.createDataFrame([(500.0,), (0.0,)], "step_ms double")
+    got = rep.derived_throughput(steps, 8, 2, 128).collect()
+    assert (got[0].derived_samples_per_sec, got[0].derived_tokens_per_sec) == (32.0, 4096.0)
+    assert got[1].derived_samples_per_sec is None
+
+
 def test_phase_breakdown(spark):
     names = formats.PHASES
     data = [("j", r, p, float(r + i)) for r in (0, 1) for i, p in enumerate(names)]
