@@ -5,12 +5,25 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from quillrun.llm import bpe_codec, packing, token_counts
+from quillrun.llm import (
+    bpe_codec,
+    chat,
+    hits,
+    near_dup,
+    packing,
+    pages,
+    permutation_index,
+    pivot_search,
+    quality,
+    secrets,
+    token_counts,
+)
 from quillrun.sources.tables import table
 
 QUERIES: dict = {}
 ORACLES: dict = {}
 SEQUENCE = 2048
+QUALITY_BAR = 0.3
 
 
 def register(name: str, sql: str | None = None):
@@ -57,3 +70,91 @@ def encoded_documents(spark, folder):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@register("op4_secret_scan")
+def secret_scan(spark, folder):
+    found = secrets.find_secrets(table(spark, folder, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *(count(kind).alias(f"n_{kind}") for kind in secrets.BASE_KINDS),
+        F.sha2(secrets.written("base"), 256).alias("base_sha256"),
+        secrets.written("spans").alias("spans"),
+    )
+
+
+@register("op6_near_duplicates")
+def near_duplicate_documents(spark, folder):
+    return near_dup.near_duplicates(table(spark, folder, "documents"), words=4, percent=80)
+
+
+def _extra_conversation(spark):
+    """Conversation -7, whose texts hold control strings of other templates."""
+    return spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+
+
+@register("op9_chat_windows")
+def chat_window_digests(spark, folder):
+    said = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    back = chat.read_back(chat.chat_windows(said.unionByName(_extra_conversation(spark))))
+    turns = F.array_join(
+        F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""
+    )
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(turns, 256).alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"),
+        F.sha2("learned", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+@register("op10_quality")
+def quality_scores(spark, folder):
+    """Learned from labelled documents whose remainder is not 0, applied to all."""
+    fold = lambda: F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, folder, "labels").filter(fold() != 0))
+    scored = quality.score(docs, model)
+    return scored.select(
+        "doc_id",
+        F.coalesce(fold() == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= QUALITY_BAR).cast("int").alias("predicted"),
+    )
+
+
+@register("op7_page_text")
+def page_text(spark, folder):
+    return pages.main_text(table(spark, folder, "pages")).withColumn(
+        "n_chars", F.length("text").cast("long")
+    )
+
+
+@register("op2_exact_top_k")
+def exact_neighbours(spark, folder):
+    rows = table(spark, folder, "embeddings").select(
+        "vec_id", F.transform("embedding", lambda x: x.cast("double") * 256).alias("scaled")
+    )
+    # Whole numbers; what is not finite stays so and takes no part.
+    whole = rows.select(
+        "vec_id",
+        F.when(
+            hits.usable(F.col("scaled"), zero=True),
+            F.transform("scaled", lambda x: F.floor(x).cast("double")),
+        ).alias("vector"),
+    )
+    return pivot_search.exact_top_k(whole, whole.filter("vec_id % 50 = 0"), k=5)
+
+
+@register("op5_permutation_index")
+def near_neighbours(spark, folder):
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return permutation_index.nearest_by_permutation(rows, rows.filter("vec_id % 20 = 0"), k=20)
