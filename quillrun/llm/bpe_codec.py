@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillrun.llm import byte_bpe
-from quillrun.llm.storage import texts
+from quillrun.llm.storage import in_slices, texts
 
 #: A contraction is the longest pre-token that its first character may turn out to be.
 LONGEST_CHOICE = 4
@@ -55,7 +55,7 @@ def cut_points(chunks: DataFrame, pattern: str, chunk: int, overlap: int) -> Dat
 
     def mark(batches):
         compiled = regex.compile(pattern)
-        for batch in batches:
+        for batch in in_slices(batches):
             heads, tails = [], []
             for text in batch.column("part").to_pylist():
                 found = boundaries(text, compiled, 0, chunk + overlap)
@@ -105,18 +105,23 @@ def _joined(parts: str) -> Column:
     return F.unhex(F.array_join(F.transform(parts, lambda p: F.hex(p["ids"])), ""))
 
 
-def _encoded(df: DataFrame, text: str, path: str, pattern: str) -> DataFrame:
-    """The rows with ``ids`` in place of their text."""
+def _encoded(df: DataFrame, text: str, path: str, pattern: str, decoded: bool = False) -> DataFrame:
+    """The rows with ``ids`` in place of their text, and what these decode to."""
     kept = [c for c in df.columns if c != text]
     kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept)
+    more = ["ids", "decoded"] if decoded else ["ids"]
 
     def run(batches):
-        encode_all = byte_bpe.from_tiktoken(path, pattern).encode_all
-        for batch in batches:
-            ids = pa.array(encode_all(batch.column(text).to_pylist()), pa.binary())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), ids], [*kept, "ids"])
+        bpe = byte_bpe.from_tiktoken(path, pattern)
+        for batch in in_slices(batches):
+            ids = list(bpe.encode_all(batch.column(text).to_pylist()))
+            columns = [ids, map(bpe.decode, ids)] if decoded else [ids]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in kept), *(pa.array(c, pa.binary()) for c in columns)],
+                [*kept, *more],
+            )
 
-    return df.mapInArrow(run, f"{kinds}, ids binary")
+    return df.mapInArrow(run, ", ".join([kinds, *(f"{c} binary" for c in more)]))
 
 
 def encode(
@@ -127,9 +132,12 @@ def encode(
     text: str = "text",
     chunk: int = 32_768,
     overlap: int = 1_024,
+    decoded: bool = False,
 ) -> DataFrame:
     """``(key, ids)`` of every row: ids as little-endian uint32 bytes, no special ones.
 
+    With ``decoded``, a column of that name has the raw bytes that the ids decode to.
+
     Texts up to a chunk are encoded where they are read. Longer ones are cut into
     chunks that overlap, pre-tokenised in parallel, stitched, and their pieces encoded
     in parallel; the pieces of a document meet only for the last step. Equal rows (key
@@ -138,7 +146,7 @@ def encode(
     rows; further columns are not read.
     """
     docs = texts(docs, key, text)
-    short = _encoded(docs.filter(F.length(text) <= chunk), text, path, pattern)
+    short = _encoded(docs.filter(F.length(text) <= chunk), text, path, pattern, decoded)
     name = F.coalesce(F.concat(F.lit("+"), F.col(key).cast("string")), F.lit("-"))
     long = (
         docs.filter(F.length(text) > chunk)
@@ -176,7 +184,10 @@ def encode(
         .join(whole, "doc_")
         .select(key, "ids", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
     )
-    return short.select(key, "ids").unionByName(rows.select(key, "ids"))
+    long_rows = rows.select(key, "ids")
+    if decoded:
+        long_rows = decode(long_rows, path, pattern)
+    return short.unionByName(long_rows)
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -184,7 +195,7 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str =
 
     def run(batches):
         read = byte_bpe.from_tiktoken(path, pattern).decode
-        for batch in batches:
+        for batch in in_slices(batches):
             values = batch.column(ids).to_pylist()
             bytes_ = pa.array([None if v is None else read(v) for v in values], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, bytes_], [*batch.schema.names, out])

@@ -62,8 +62,9 @@ def token_count_report(spark, folder):
 @register("op8_bpe_codec")
 def encoded_documents(spark, folder):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = bpe_codec.encode(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
-    both = bpe_codec.decode(ids, path, public_tokenizers.PATTERN)
+    both = bpe_codec.encode(
+        table(spark, folder, "documents"), path, public_tokenizers.PATTERN, decoded=True
+    )
     return both.select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,3 +36,10 @@ def stored(df: DataFrame) -> DataFrame:
 def texts(df: DataFrame, key: str, text: str) -> DataFrame:
     """``(key, text)`` alone, null text as the empty one; other columns stay behind."""
     return df.select(F.col(key), F.coalesce(F.col(text).cast("string"), F.lit("")).alias(text))
+
+
+def in_slices(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that a worker holds few texts at a time."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, rows):
+            yield batch.slice(begin, rows)
