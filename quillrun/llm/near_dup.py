@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillrun.llm.components import components
-from quillrun.llm.storage import stored, texts
+from quillrun.llm.storage import in_slices, stored, texts
 
 HALVES, ROWS = 24, 4
 SEED = 20_240_501
@@ -102,7 +102,7 @@ def signatures(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
     def run(batches):
         hashes = _WordHashes()
         fixed = _constants(words, HALVES, ROWS)
-        for batch in batches:
+        for batch in in_slices(batches):
             sizes, nodes, first, second, sketch = [], [], [], [], []
             for value in batch.column(1).to_pylist():
                 found = shingles(value, words, hashes)
@@ -143,7 +143,7 @@ def shingle_sets(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
 
     def run(batches):
         hashes = _WordHashes()
-        for batch in batches:
+        for batch in in_slices(batches):
             sets = [shingles(v, words, hashes) for v in batch.column(1).to_pylist()]
             sets = [s for s in sets if len(s)]
             yield pa.RecordBatch.from_arrays(

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillrun.llm import byte_bpe
-from quillrun.llm.storage import stored, texts
+from quillrun.llm.storage import in_slices, stored, texts
 
 PIECES = "{key} {kind}, start long, length long, doc_tokens long, ids binary"
 
@@ -39,7 +39,7 @@ def token_pieces(
     def cut(batches):
         encode_all = byte_bpe.from_json(path, pattern).encode_all
         end = np.asarray([end_id], dtype="<u4").tobytes()
-        for batch in batches:
+        for batch in in_slices(batches):
             rows, starts, lengths, totals, parts = [], [], [], [], []
             for row, encoded in enumerate(encode_all(batch.column(1).to_pylist())):
                 ids = encoded + end

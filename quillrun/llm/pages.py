@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillrun.llm.storage import stored
+from quillrun.llm.storage import in_slices, stored
 from quillrun.session import shuffle_width
 
 #: Whole elements that hold no main text, wherever they stand.
@@ -220,7 +220,7 @@ def _parsed(pages: DataFrame, with_text: bool) -> DataFrame:
     """``row_`` with ``hashes`` of all lines, or with key, URL, ``lines`` and ``marks``."""
 
     def run(batches):
-        for batch in batches:
+        for batch in in_slices(batches):
             found = [page_lines(h) for h in batch.column("html_").to_pylist()]
             if with_text:
                 more = [
@@ -259,7 +259,7 @@ def shared_places(pages: DataFrame, url: str) -> DataFrame:
     )
 
     def align(batches):
-        for batch in batches:
+        for batch in in_slices(batches):
             found = []
             for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 shared = [False] * len(a)
