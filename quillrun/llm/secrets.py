@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillrun.llm.prefix import prefix_sums
-from quillrun.llm.storage import stored
+from quillrun.llm.storage import stored, texts
 
 # The base kinds in their order, patterns and least lengths.
 ASSIGN = (
@@ -163,41 +163,77 @@ def _linked(scanned: DataFrame, reach: int) -> DataFrame:
     )
 
 
-def find_secrets(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", reach: int = 200
-) -> DataFrame:
-    """``(key, base, spans)`` of every row: spans ``(start, kind, end)`` by start.
-
-    ``base`` are the matches of the fixed patterns; ``spans`` has them and the weak parts
-    (identifiers, secrets, endpoints) that have a complement, one of both being a secret,
-    at most ``reach`` code points away. Texts are read once; only the places found are
-    shuffled. A null or empty text has no spans; equal rows (key and text) have equal
-    ones and stay rows of their own, null keys too; an empty table gives no rows.
-    """
-    docs = docs.select(
-        F.col(key).alias(key), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text_")
-    )
+def _row_name(key: str, text: str) -> Column:
+    """What equal rows (key and text) share, and no others."""
     name = F.coalesce(F.concat(F.lit("+"), F.col(key).cast("string")), F.lit("-"))
+    return F.sha2(F.concat(name, F.lit(" "), F.col(text)), 256)
+
+
+def _found(docs: DataFrame, key: str, text: str, reach: int) -> DataFrame:
+    """``(key, row_, base, spans)``; ``row_`` is null for rows without any part."""
     scanned = stored(
-        _parts(docs, "text_").select(
+        _parts(docs.select(key, text), text).select(
             key,
             "base_",
             "weak_",
-            F.when(
-                F.size("weak_") > 0, F.sha2(F.concat(name, F.lit(" "), F.col("text_")), 256)
-            ).alias("row_"),
+            F.when(F.size("weak_") + F.size("base_") > 0, _row_name(key, text)).alias("row_"),
         )
     )
-    some = scanned.filter("row_ IS NOT NULL")
+    weak = F.size("weak_") > 0
+    some = scanned.filter(weak)
     found = some.join(_linked(some, reach), "row_", "left").select(
-        key, "base_", F.coalesce(F.concat("base_", "linked_"), "base_").alias("all_")
+        key, "row_", "base_", F.coalesce(F.concat("base_", "linked_"), "base_").alias("all_")
     )
-    rest = scanned.filter("row_ IS NULL").select(key, "base_", F.col("base_").alias("all_"))
+    rest = scanned.filter(~weak).select(key, "row_", "base_", F.col("base_").alias("all_"))
     short = lambda c: F.transform(
         F.array_sort(c),
-        lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")),
+        lambda s: F.struct(
+            s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")
+        ),
+    )
+    return rest.unionByName(found).select(
+        key, "row_", short("base_").alias("base"), short("all_").alias("spans")
+    )
+
+
+def find_secrets(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", reach: int = 200
+) -> DataFrame:
+    """``(key, base, spans)`` of every row: spans ``(start, kind, end)`` by start.
+
+    ``base`` are the matches of the fixed patterns; ``spans`` has them and the weak parts
+    (identifiers, secrets, endpoints) that have a complement, one of both being a secret,
+    at most ``reach`` code points away. Texts are read once; only the places found are
+    shuffled. A null or empty text has no spans; equal rows (key and text) have equal
+    ones and stay rows of their own, null keys too; an empty table gives no rows; further
+    columns are not read.
+    """
+    return _found(texts(docs, key, text), key, text, reach).drop("row_")
+
+
+def redact_secrets(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    reach: int = 200,
+    mark: str = "[secret]",
+) -> DataFrame:
+    """``docs`` with a mark in place of every span that ``find_secrets`` gives.
+
+    All columns and rows stay. Texts without a span stay as they are, null ones too.
+    """
+    plain = docs.withColumn("plain_", F.coalesce(F.col(text).cast("string"), F.lit("")))
+    plain = plain.withColumn("row_", _row_name(key, "plain_"))
+    found = (
+        _found(plain.select(key, "plain_"), key, "plain_", reach)
+        .filter(F.size("spans") > 0)
+        .groupBy("row_")
+        .agg(F.first("spans").alias("spans_"))
+    )
+    clean = F.when(F.col("spans_").isNull(), F.col(text)).otherwise(
+        redacted(F.col("plain_"), F.col("spans_"), mark)
     )
-    return rest.unionByName(found).select(key, short("base_").alias("base"), short("all_").alias("spans"))
+    return plain.join(found, "row_", "left").withColumn(text, clean).select(*docs.columns)
 
 
 def written(found: str) -> Column:

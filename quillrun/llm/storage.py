@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -33,6 +34,15 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def rewritten(df: DataFrame, name: str) -> DataFrame:
+    """The rows written as Parquet in the shared folder and read from there."""
+    spark = df.sparkSession
+    _shared_folder(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def texts(df: DataFrame, key: str, text: str) -> DataFrame:
     """``(key, text)`` alone, null text as the empty one; other columns stay behind."""
     return df.select(F.col(key), F.coalesce(F.col(text).cast("string"), F.lit("")).alias(text))
