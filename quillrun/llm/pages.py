@@ -223,8 +223,12 @@ def _parsed(pages: DataFrame, with_text: bool) -> DataFrame:
         for batch in in_slices(batches):
             found = [page_lines(h) for h in batch.column("html_").to_pylist()]
             if with_text:
+                # What goes in any case is not carried along, but keeps its place.
                 more = [
-                    pa.array([[x for x, _ in p] for p in found], pa.list_(pa.string())),
+                    pa.array(
+                        [[x if m != BOILERPLATE else "" for x, m in p] for p in found],
+                        pa.list_(pa.string()),
+                    ),
                     pa.array([[m for _, m in p] for p in found], pa.list_(pa.int32())),
                 ]
                 yield pa.RecordBatch.from_arrays(
