@@ -27,6 +27,8 @@ HALVES, ROWS = 24, 4
 SEED = 20_240_501
 #: Sketch bits that may differ: six standard deviations above what 0.8 leads to.
 DEVIATIONS = 6.0
+#: Strays of one hub that a task compares with its nodes.
+STRAYS = 256
 
 
 class _WordHashes(dict):
@@ -161,21 +163,37 @@ def _similar_sizes(x: str, y: str, percent: int):
     return F.least(x, y) * 100 >= F.greatest(x, y) * percent
 
 
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    return pairs.join(
+        sets.select(F.col("node").alias("x"), F.col("shingles").alias("sx")), "x"
+    ).join(sets.select(F.col("node").alias("y"), F.col("shingles").alias("sy")), "y")
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(x, y)`` whose full sets are similar enough."""
     both = F.size(F.array_intersect("sx", "sy"))
     return (
-        pairs.join(sets.select(F.col("node").alias("x"), F.col("shingles").alias("sx")), "x")
-        .join(sets.select(F.col("node").alias("y"), F.col("shingles").alias("sy")), "y")
+        _with_sets(pairs, sets)
         .filter(both * 100 >= (F.size("sx") + F.size("sy") - both) * percent)
         .select("x", "y")
     )
 
 
-def _first_links(shared: DataFrame, members: DataFrame) -> DataFrame:
-    """One pair for each node: itself and the hub with which it shares most half-keys."""
+def _hub_pairs(members: DataFrame) -> DataFrame:
+    """``(x, y)``: each node ``y`` with the hub ``x`` with which it shares most half-keys.
+
+    The hub of a half-key is the one of its nodes that meets most others in all: of
+    copies with changes, one with few changes.
+    """
+    sized = members.groupBy("node").agg(F.sum("members").alias("met"))
+    hubs = (
+        members.join(sized, "node")
+        .groupBy("half")
+        .agg(F.max(F.struct("met", "node")).alias("best"))
+        .select("half", F.col("best.node").alias("hub"))
+    )
     votes = (
-        members.join(shared.select("half", "hub"), "half")
+        members.join(hubs, "half")
         .filter("node <> hub")
         .groupBy("node", "hub")
         .agg(F.count("*").alias("votes"))
@@ -186,27 +204,89 @@ def _first_links(shared: DataFrame, members: DataFrame) -> DataFrame:
     return best.select(F.col("best.hub").alias("x"), F.col("node").alias("y"))
 
 
-def _other_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one table whose nodes are not yet known to be connected.
+def _measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``(hub, node, n_hub, n, more, less, linked)``: nodes by how they differ from a hub.
+
+    ``more`` are the shingles that the hub has not, ``less`` those that only it has.
+    """
+    measured = _with_sets(pairs, sets).select(
+        F.col("x").alias("hub"),
+        F.col("y").alias("node"),
+        F.size("sx").alias("n_hub"),
+        F.size("sy").alias("n"),
+        F.array_except("sy", "sx").alias("more"),
+        F.array_except("sx", "sy").alias("less"),
+    )
+    both = F.col("n") - F.size("more")
+    return measured.withColumn(
+        "linked", both * 100 >= (F.col("n") + F.col("n_hub") - both) * percent
+    )
+
+
+def _links_around_hubs(measured: DataFrame, percent: int) -> DataFrame:
+    """Links ``(x, y)`` of nodes that are not linked to their hub, among nodes of that hub.
+
+    What two sets have in common follows from how both differ from the hub, so that only
+    the differences are compared, and no pair leaves the join but a link. Nodes of a hub
+    with many strays are dealt out to blocks.
+    """
+    strays = measured.filter("NOT linked")
+    blocks = strays.groupBy("hub").agg(F.ceil(F.count("*") / STRAYS).cast("int").alias("blocks"))
+    side = lambda df, s: df.select(
+        "hub", "block", "n_hub", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "more", "less", "linked"))
+    )
+    left = side(
+        strays.join(blocks, "hub").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")),
+        "x",
+    )
+    right = side(
+        measured.join(blocks, "hub").withColumn(
+            "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+        ),
+        "y",
+    ).drop("n_hub")
+    least = lambda c: F.least(F.size(f"{c}_x"), F.size(f"{c}_y"))
+    same = lambda c: F.size(F.array_intersect(f"{c}_x", f"{c}_y"))
+    apart = F.col("n_hub") - F.size("less_x") - F.size("less_y")
+    needed = (F.col("n_x") + F.col("n_y")) * percent
+    return (
+        left.join(right, ["hub", "block"])
+        .filter(
+            (F.col("linked_y") | (F.col("node_x") < F.col("node_y")))
+            & ((apart + least("more") + least("less")) * (100 + percent) >= needed)
+            & ((apart + same("more") + same("less")) * (100 + percent) >= needed)
+        )
+        .select(F.col("node_x").alias("x"), F.col("node_y").alias("y"))
+    )
+
+
+def _other_pairs(
+    members: DataFrame, classes: DataFrame, known: DataFrame, percent: int
+) -> DataFrame:
+    """Pairs of one table, of different hubs, not yet known to be connected.
 
     Of a half-key, only the nodes outside of its most frequent component are joined with
     all its nodes: a group of copies that is connected already costs nothing more.
     """
-    labelled = (
-        members.join(labels, "node", "left")
-        .withColumn("label", F.coalesce("label", "node"))
+    labelled = members.select("half", "node").join(known, "node")
+    counts = labelled.groupBy("half", "label").agg(
+        F.count("*").alias("n"), F.min("hub").alias("low"), F.max("hub").alias("high")
     )
-    counts = labelled.groupBy("half", "label").agg(F.count("*").alias("n"))
     mixed = (
         counts.groupBy("half")
-        .agg(F.max(F.struct("n", "label")).alias("most"), F.count("*").alias("labels"))
-        .filter("labels > 1")
+        .agg(
+            F.max(F.struct("n", "label")).alias("most"),
+            F.count("*").alias("labels"),
+            F.min("low").alias("low"),
+            F.max("high").alias("high"),
+        )
+        .filter("labels > 1 AND low <> high")
         .select("half", F.col("most.label").alias("most"))
     )
     left = stored(labelled.join(mixed, "half")).join(
         classes.select("node", "n", "second", "sketch"), "node"
     )
-    columns = ("node", "label", "n", "second", "sketch")
+    columns = ("node", "label", "hub", "n", "second", "sketch")
     mine = left.filter("label <> most").select("half", *(F.col(c).alias(f"{c}_x") for c in columns))
     all_ = left.select("half", "most", *(F.col(c).alias(f"{c}_y") for c in columns))
     bits = 2 * HALVES * ROWS
@@ -219,6 +299,7 @@ def _other_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame, perc
         mine.join(all_, "half")
         .filter(
             (F.col("label_x") != F.col("label_y"))
+            & (F.col("hub_x") != F.col("hub_y"))
             & ((F.col("label_y") == F.col("most")) | (F.col("node_x") < F.col("node_y")))
             & _similar_sizes("n_x", "n_y", percent)
             & (distance <= differ)
@@ -242,8 +323,9 @@ def near_duplicates(
     linking: its component is null and it is kept. Repeated keys are rows of their own,
     each with the component of its own set. An empty table gives no rows.
 
-    First every node is compared with the one hub it shares most with; then, of each
-    half-key, the nodes that are not connected yet are compared with all others. No pair
+    First every node is compared with one hub, the node it shares most with; what is not
+    linked to its hub is compared with all other nodes of that hub; then, of each
+    half-key, nodes of different hubs that are not connected yet are compared. No pair
     that shares a table is left out, and each link is confirmed on the full sets.
     """
     docs = texts(docs, key, text)
@@ -257,12 +339,8 @@ def near_duplicates(
         )
     )
     halves = classes.select("node", F.explode("first").alias("half"))
-    shared = stored(
-        halves.groupBy("half")
-        .agg(F.count("*").alias("members"), F.min("node").alias("hub"))
-        .filter("members > 1")
-    )
-    members = stored(halves.join(shared.select("half"), "half"))
+    shared = halves.groupBy("half").agg(F.count("*").alias("members")).filter("members > 1")
+    members = stored(halves.join(shared, "half"))
     wanted = classes.select("node", "least_").join(members.select("node").distinct(), "node")
     wanted = wanted.select(F.col("least_").alias(key)).distinct()
     sets = stored(
@@ -270,9 +348,17 @@ def near_duplicates(
         .groupBy("node")
         .agg(F.first("shingles").alias("shingles"))
     )
-    links = stored(_confirmed(_first_links(shared, members), sets, percent))
-    labels = components(links, "x", "y")
-    more = _confirmed(_other_pairs(members, classes, labels, percent), sets, percent)
+    measured = stored(_measured(_hub_pairs(members), sets, percent))
+    to_hubs = measured.filter("linked").select(F.col("hub").alias("x"), F.col("node").alias("y"))
+    labels = components(to_hubs.union(_links_around_hubs(measured, percent)), "x", "y")
+    known = (
+        members.select("node")
+        .distinct()
+        .join(labels, "node", "left")
+        .join(measured.select("node", "hub"), "node", "left")
+        .select("node", F.coalesce("label", "node").alias("label"), F.coalesce("hub", "node").alias("hub"))
+    )
+    more = _confirmed(_other_pairs(members, classes, known, percent), sets, percent)
     named = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}"))
     between = (
         more.join(named("x"), "x", "left")
