@@ -72,23 +72,70 @@ def world_sizes(ranks: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return ranks.groupBy(*by, "world_size").agg(F.count(F.lit(1)).alias("n_seen"))
 
 
-def missing_ranks(ranks: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Ranks below the world size that never showed up, where that size is unique."""
-    unique = (
-        ranks.groupBy(*by)
-        .agg(F.min("world_size").alias("_low"), F.max("world_size").alias("_high"))
+def missing_gaps(ranks: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Stretches ``(low, high)`` of ranks below the world size that never showed up.
+
+    Only where the world size is unique. The work follows the ranks seen, whatever size
+    a log line names.
+    """
+    seen = ranks.groupBy(*by, "rank").agg(
+        F.min("world_size").alias("_low"), F.max("world_size").alias("_high")
+    )
+    whole = Window.partitionBy(*by)
+    sized = (
+        seen.withColumns({"_low": F.min("_low").over(whole), "_high": F.max("_high").over(whole)})
         .filter((F.col("_low") == F.col("_high")) & (F.col("_high") > 0))
+        .withColumn("_size", F.col("_high").cast("long"))
+        .withColumn(
+            "_at",
+            F.least(F.greatest(F.coalesce(F.col("rank").cast("long"), F.lit(-1)), F.lit(-1)), "_size"),
+        )
+        .select(*by, "_at", "_size")
+        .distinct()
+    )
+    order = whole.orderBy("_at")
+    placed = sized.withColumns(
+        {
+            "_before": F.coalesce(F.lag("_at").over(order), F.lit(-1)),
+            "_last": F.lead("_at").over(order).isNull(),
+        }
+    )
+    gap = lambda low, high: F.struct(low.alias("low"), high.alias("high"))
+    gaps = F.array(
+        gap(F.col("_before") + 1, F.col("_at") - 1),
+        gap(F.when(F.col("_last"), F.col("_at") + 1), F.col("_size") - 1),
     )
-    expected = unique.select(
-        *by, F.explode(F.sequence(F.lit(0), F.col("_high") - 1)).alias("rank")
+    return placed.select(*by, F.inline(gaps)).filter("low <= high")
+
+
+def missing_ranks(ranks: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Ranks below the world size that never showed up, where that size is unique."""
+    step = 10_000
+    starts = F.explode(F.sequence("low", "high", F.lit(step).cast("long")))
+    return (
+        missing_gaps(ranks, by)
+        .select(*by, "high", starts.alias("_from"))
+        .select(
+            *by,
+            F.explode(
+                F.sequence("_from", F.least(F.col("high"), F.col("_from") + step - 1))
+            ).alias("rank"),
+        )
     )
-    return expected.join(ranks.select(*by, "rank").distinct(), [*by, "rank"], "left_anti")
 
 
 def missing_summary(ranks: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Number of missing ranks and the first of them as text, ``...`` when there are more."""
-    missing = missing_ranks(ranks, by)
-    counts = missing.groupBy(*by).agg(F.count(F.lit(1)).alias("n_missing"))
+    gaps = missing_gaps(ranks, by)
+    counts = gaps.groupBy(*by).agg(F.sum(F.col("high") - F.col("low") + 1).alias("n_missing"))
+    missing = gaps.select(
+        *by,
+        F.explode(
+            F.sequence("low", F.least(F.col("high"), F.col("low") + SHOWN_RANKS - 1))
+        ).alias("rank"),
+    )
+    if not by:
+        counts = counts.filter("n_missing IS NOT NULL")
     numbers = F.transform(
         F.sort_array(F.collect_list("rank")), lambda r: r.cast("string")
     )
@@ -234,7 +281,10 @@ def verdict(
         fact(rendezvous, "n_rendezvous"),
         fact(ranks.select(*by, "rank").distinct(), "n_ranks"),
         fact(ranks.select(*by, "world_size").distinct(), "n_world_sizes"),
-        fact(missing_ranks(ranks, by), "n_missing"),
+        missing_gaps(ranks, by)
+        .groupBy(*by)
+        .agg(F.coalesce(F.sum(F.col("high") - F.col("low") + 1), F.lit(0)).alias("_n"))
+        .withColumn("_fact", F.lit("n_missing")),
         fact(failures, "n_failures"),
     ]
     if runs is not None:
@@ -324,14 +374,14 @@ def scaling(times: DataFrame) -> DataFrame:
 
 
 def phase_breakdown(phases: DataFrame, by: Sequence[str] = ("job",)) -> DataFrame:
-    """Seconds per phase as columns, per run and rank."""
-    table = (
-        phases.groupBy(*by, "rank").pivot("phase", formats.PHASES).agg(F.sum("seconds"))
-    )
+    """Seconds per known phase as columns, of all other phases, and of all, per run and rank."""
     names = {p: p.lower().replace(" ", "_") for p in formats.PHASES}
-    renamed = table.withColumnsRenamed(names)
-    total = sum((F.coalesce(F.col(n), F.lit(0.0)) for n in names.values()), F.lit(0.0))
-    return renamed.withColumn("total_seconds", total)
+    other = ~F.coalesce(F.col("phase").isin(formats.PHASES), F.lit(False))
+    return phases.groupBy(*by, "rank").agg(
+        *(F.sum(F.when(F.col("phase") == p, F.col("seconds"))).alias(n) for p, n in names.items()),
+        F.sum(F.when(other, F.col("seconds"))).alias("other_seconds"),
+        F.coalesce(F.sum("seconds"), F.lit(0.0)).alias("total_seconds"),
+    )
 
 
 def slowest_rank(breakdown: DataFrame, by: Sequence[str] = ("job",)) -> DataFrame:
@@ -343,18 +393,24 @@ def slowest_rank(breakdown: DataFrame, by: Sequence[str] = ("job",)) -> DataFram
     )
 
 
-def curve_ends(curve: DataFrame, by: Sequence[str] = ("rank",)) -> DataFrame:
+def _curve_order(curve: DataFrame) -> list[str]:
+    """Steps in order, equal ones by where they stand in the log."""
+    return ["step", *(c for c in ("file", "pos") if c in curve.columns)]
+
+
+def curve_ends(curve: DataFrame, by: Sequence[str] = ("job", "rank")) -> DataFrame:
     """First and last loss by step, and the number of points."""
+    place = F.struct(*_curve_order(curve))
     return curve.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_points"),
         F.min("step").alias("first_step"),
         F.max("step").alias("last_step"),
-        F.min_by("loss", "step").alias("first_loss"),
-        F.max_by("loss", "step").alias("last_loss"),
+        F.min_by("loss", place).alias("first_loss"),
+        F.max_by("loss", place).alias("last_loss"),
     )
 
 
-def curve_changes(curve: DataFrame, by: Sequence[str] = ("rank",)) -> DataFrame:
+def curve_changes(curve: DataFrame, by: Sequence[str] = ("job", "rank")) -> DataFrame:
     """Change of the loss since the step before, for curves of any length."""
-    stepped = with_previous(curve, list(by), "step", "loss", "_before")
+    stepped = with_previous(curve, list(by), _curve_order(curve), "loss", "_before")
     return stepped.withColumn("loss_change", F.col("loss") - F.col("_before")).drop("_before")

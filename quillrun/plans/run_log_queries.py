@@ -600,7 +600,9 @@ SQL_BREAKDOWN = """, broken AS (
     sum(seconds) FILTER (WHERE phase = 'Trainer setup') AS trainer_setup,
     sum(seconds) FILTER (WHERE phase = 'Training') AS training,
     sum(seconds) FILTER (WHERE phase = 'Model save') AS model_save,
-    coalesce(sum(seconds) FILTER (WHERE phase <> 'Evaluation'), 0) AS total_seconds
+    sum(seconds) FILTER (WHERE phase NOT IN ('Dataset load', 'Tokenization',
+      'Trainer setup', 'Training', 'Model save')) AS other_seconds,
+    coalesce(sum(seconds), 0) AS total_seconds
   FROM phases GROUP BY job, rank
 )
 """
@@ -613,13 +615,14 @@ SQL_BREAKDOWN = """, broken AS (
         + "SELECT job, rank, round(dataset_load, 6) AS dataset_load, "
         "round(tokenization, 6) AS tokenization, round(trainer_setup, 6) AS trainer_setup, "
         "round(training, 6) AS training, round(model_save, 6) AS model_save, "
+        "round(other_seconds, 6) AS other_seconds, "
         "round(total_seconds, 6) AS total_seconds FROM broken"
     ),
 )
 def phase_breakdown(spark, folder):
     names = [p.lower().replace(" ", "_") for p in formats.PHASES]
     found = rep.phase_breakdown(_phases(spark, folder))
-    return _long(_rounded(found, *names, "total_seconds"), "rank")
+    return _long(_rounded(found, *names, "other_seconds", "total_seconds"), "rank")
 
 
 @register(
@@ -646,7 +649,7 @@ def _curve(spark, folder):
     "round(arg_max(value / 100, event_id), 4) AS last_loss FROM events GROUP BY event_id % 8",
 )
 def curve_ends(spark, folder):
-    return _long(rep.curve_ends(_curve(spark, folder)), "rank")
+    return _long(rep.curve_ends(_curve(spark, folder), ["rank"]), "rank")
 
 
 @register(
@@ -656,5 +659,5 @@ def curve_ends(spark, folder):
     "AS loss_change FROM events",
 )
 def curve_changes(spark, folder):
-    found = rep.curve_changes(_curve(spark, folder)).select("step", "rank", "loss_change")
+    found = rep.curve_changes(_curve(spark, folder), ["rank"]).select("step", "rank", "loss_change")
     return _long(_rounded(found, "loss_change"), "rank")

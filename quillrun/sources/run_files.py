@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quillrun.functions import formats
 from quillrun.functions import text as tx
@@ -130,13 +129,29 @@ def _read_named(spark: SparkSession, folders: Sequence[str], names: str):
     return spark.read.option("pathGlobFilter", names), [f.rstrip("/") for f in folders]
 
 
+def _plain(path: Column) -> Column:
+    """One spelling of a path, however many slashes follow its scheme."""
+    return F.regexp_replace(path, r"^([A-Za-z][A-Za-z0-9+.-]*:)/+", "$1/")
+
+
 def _folder() -> Column:
-    return F.regexp_extract("_metadata.file_path", r"([^/]+)/[^/]+$", 1)
+    return _plain(F.regexp_replace("_metadata.file_path", r"/[^/]*$", ""))
+
+
+def _run_name(path: Column) -> Column:
+    return F.url_decode(F.regexp_replace(F.substring_index(path, "/", -1), r"\+", "%2B"))
 
 
 def _folder_names(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
-    names = [(f.rstrip("/").rsplit("/", 1)[-1],) for f in folders]
-    return spark.createDataFrame(names, "run string")
+    """``(path, run)`` of the folders: the full path, which is the key, and its last name."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    full = []
+    for folder in dict.fromkeys(f.rstrip("/") for f in folders):
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        qualified = path.getFileSystem(conf).makeQualified(path)
+        full.append((qualified.toUri().toString(),))
+    paths = spark.createDataFrame(full, "path string").select(_plain(F.col("path")).alias("path"))
+    return paths.withColumn("run", _run_name(F.col("path")))
 
 
 def read_preflight(spark: SparkSession, folder: str, job: str) -> DataFrame:
@@ -155,31 +170,30 @@ def read_preflight(spark: SparkSession, folder: str, job: str) -> DataFrame:
 
 
 def read_run_meta(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
-    """Run descriptions, one row per folder.
+    """Run descriptions, one row per folder, with the folder's ``path`` and last name.
 
     The final description wins over the first one; a broken file falls through, and
-    a folder without a usable file gives a row of NULLs.
+    a folder without a usable file gives a row of NULLs. ``others`` holds all keys of
+    the description that have no column of their own.
     """
-    fields = [T.StructField(f, T.StringType()) for f in META_FIELDS]
-    schema = T.StructType([*fields, T.StructField("_corrupt_record", T.StringType())])
     reader, paths = _read_named(spark, folders, "{" + ",".join(formats.META_FILES) + "}")
-    name = F.col("_metadata.file_name")
     found = (
-        reader.schema(schema)
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .json(paths)
-        .select(_folder().alias("run"), name.alias("_name"), *META_FIELDS, "_corrupt_record")
-        .filter(F.col("_corrupt_record").isNull())
+        reader.text(paths, wholetext=True)
+        .select(
+            _folder().alias("path"),
+            F.col("_metadata.file_name").alias("_name"),
+            F.from_json("value", "map<string,string>").alias("_meta"),
+        )
+        .filter(F.size("_meta") > 0)
     )
     preference = F.array_position(F.array(*[F.lit(n) for n in formats.META_FILES]), F.col("_name"))
-    best = found.groupBy("run").agg(
-        F.min_by(F.struct(*META_FIELDS), preference).alias("_meta")
-    )
+    best = found.groupBy("path").agg(F.min_by("_meta", preference).alias("_meta"))
     typed = [
-        F.col(f"_meta.{f}").try_cast(META_NUMBERS.get(f, "string")).alias(f) for f in META_FIELDS
+        F.col("_meta")[f].try_cast(META_NUMBERS.get(f, "string")).alias(f) for f in META_FIELDS
     ]
-    return _folder_names(spark, folders).join(best, "run", "left").select("run", *typed)
+    others = F.map_filter("_meta", lambda k, v: ~k.isin(META_FIELDS)).alias("others")
+    known = _folder_names(spark, folders).join(best, "path", "left")
+    return known.select("run", *typed, others, "path")
 
 
 def read_wall(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
@@ -187,18 +201,23 @@ def read_wall(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
     reader, paths = _read_named(spark, folders, formats.WALL_FILE)
     content = F.btrim(F.regexp_replace("value", r"\s+", " "))
     found = reader.text(paths, wholetext=True).select(
-        _folder().alias("run"), content.try_cast("bigint").alias("wall_seconds")
+        _folder().alias("path"), content.try_cast("bigint").alias("wall_seconds")
     )
-    return _folder_names(spark, folders).join(found, "run", "left")
+    known = _folder_names(spark, folders).join(found, "path", "left")
+    return known.select("run", "wall_seconds", "path")
 
 
 def read_timings(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
-    """Lines of the timing files of run folders: ``(job, rank, file, line)``."""
+    """Lines of the timing files of run folders: ``(job, rank, file, line, path)``.
+
+    ``job`` is the folder's last name; ``path`` tells folders of one name apart.
+    """
     reader, paths = _read_named(spark, folders, formats.TIMING_FILES)
     name = F.col("_metadata.file_name")
     return reader.text(paths).select(
-        _folder().alias("job"),
+        _run_name(_folder()).alias("job"),
         F.regexp_extract(name, formats.TIMING_RANK, 1).try_cast("int").alias("rank"),
         name.alias("file"),
         F.make_valid_utf8("value").alias("line"),
+        _folder().alias("path"),
     )

@@ -62,19 +62,23 @@ def polling_monitor(
     lateness: str | None = "10 minutes",
 ) -> DataFrame:
     """State of each job in sliding windows: steps, last step, slowest step, failures."""
+    pattern = F.lit(rec.KINDS["step"][0])  # a line with progress bars may hold several
+    numbers = lambda group, kind: F.transform(
+        F.regexp_extract_all("line", pattern, F.lit(group)), lambda x: x.try_cast(kind)
+    )
     marked = _windowed(lines, lateness).select(
         "job",
         "ts",
-        F.regexp_extract("line", rec.KINDS["step"][0], 2).try_cast("bigint").alias("step"),
-        F.regexp_extract("line", rec.KINDS["step"][0], 3).try_cast("double").alias("step_ms"),
+        numbers(2, "bigint").alias("steps"),
+        numbers(3, "double").alias("times"),
         F.regexp_count("line", F.lit(rec.KINDS["failure"][0])).alias("failures"),
     )
     return (
         marked.groupBy(F.window("ts", width, slide), "job")
         .agg(
-            F.count("step").alias("n_steps"),
-            F.max("step").alias("last_step"),
-            F.max("step_ms").alias("slowest_ms"),
+            F.sum(F.size(F.array_compact("steps"))).cast("long").alias("n_steps"),
+            F.max(F.array_max("steps")).alias("last_step"),
+            F.max(F.array_max("times")).alias("slowest_ms"),
             F.sum("failures").alias("n_failures"),
         )
         .select("window.start", "window.end", "job", "n_steps", "last_step", "slowest_ms",

@@ -108,6 +108,22 @@ def test_run_meta_prefers_final_and_survives_bad_files(spark, tmp_path):
     assert len(none) == 1
 
 
+def test_folders_of_one_name_stay_apart(spark, tmp_path):
+    for side, nodes in (("a", 2), ("b", 3)):
+        write(tmp_path / side / "83 71" / "meta.json", json.dumps({"nnodes": nodes, "host": side, "n": {"x": 1}}))
+        write(tmp_path / side / "83 71" / "wallclock_seconds.txt", str(nodes * 10))
+        write(tmp_path / side / "83 71" / "timing_rank0.log", "[Training] 1.00 sec")
+    folders = [f"{tmp_path}/{s}/83 71" for s in ("a", "b")]
+    meta = run_files.read_run_meta(spark, [*folders, folders[0] + "/"]).collect()
+    assert sorted((r.run, r.nnodes, r.others["host"], r.others["n"]) for r in meta) == [
+        ("83 71", 2, "a", '{"x":1}'), ("83 71", 3, "b", '{"x":1}')
+    ]
+    wall = run_files.read_wall(spark, folders).collect()
+    assert sorted((r.run, r.wall_seconds) for r in wall) == [("83 71", 20), ("83 71", 30)]
+    lines = run_files.read_timings(spark, folders).collect()
+    assert {r.job for r in lines} == {"83 71"} and len({r.path for r in lines}) == 2
+
+
 def test_wall_clock_files(spark, tmp_path):
     write(tmp_path / "1" / "wallclock_seconds.txt", " 120\n")
     write(tmp_path / "2" / "wallclock_seconds.txt", "12.5\n")

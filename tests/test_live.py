@@ -88,3 +88,11 @@ def test_failure_windows(spark, folder, tmp_path):
     assert stored(spark, tmp_path, "file", "n_failures") == [("j.0.out", 4), ("j.1.out", 2)]
     hours = spark.read.parquet(str(tmp_path / "rows")).select(F.hour("start")).distinct()
     assert hours.count() == 1
+
+
+def test_several_steps_on_a_line_all_count(spark):
+    job, file, ts, first = step(1, 0, 1)
+    line = first + " 8%|#  | [rank 0 | step 2] step_ms=9.00 samples_per_sec=8.00 tokens_per_sec=64.00"
+    lines = spark.createDataFrame([(job, file, ts, line)], live.LINE_SCHEMA)
+    row = live.polling_monitor(lines, "10 minutes", "10 minutes").first()
+    assert (row.n_steps, row.last_step, row.slowest_ms) == (2, 2, 9.0)

@@ -57,7 +57,55 @@ def test_row_index_of_empty_and_time_keys(spark):
     got = [r.id for r in positions.with_row_index(df, "t", n_ranges=3).orderBy("row_index").collect()]
     assert got == list(range(19, -1, -1))
     with pytest.raises(TypeError):
-        positions.with_row_index(spark.createDataFrame([("a",)], "s string"), "s")
+        positions.with_row_index(spark.createDataFrame([(True,)], "s boolean"), "s")
+
+
+def group_sizes(df, keys, n):
+    ranged = positions._with_order_ranges(df, keys, n)
+    return [r["count"] for r in ranged.groupBy("_range", "_part").count().collect()]
+
+
+@pytest.mark.parametrize("share", [0.05, 0.5])
+@pytest.mark.parametrize("hot", [500.0, None, float("nan")])
+def test_no_group_is_large_when_keys_rise_together(spark, share, hot):
+    n_hot = int(20_000 * share)
+    rows = [(float(i), i) for i in range(20_000 - n_hot)]
+    rows += [(hot, i) for i in range(500, 500 + n_hot)]
+    df = spark.createDataFrame(rows, "a double, b long").repartition(4, "b")
+    sizes = group_sizes(df, ["a", "b"], 40)
+    assert max(sizes) <= 3 * 20_000 / 40 and sum(sizes) == 20_000
+
+
+def test_the_third_key_cuts_what_the_second_leaves(spark):
+    rows = [(1, 2, i) for i in range(9_000)] + [(1, i, i) for i in range(1_000)]
+    df = spark.createDataFrame(rows, "a long, b long, c long").repartition(4, "c")
+    assert max(group_sizes(df, ["a", "b", "c"], 20)) <= 3 * 10_000 / 20
+    placed = positions.with_row_index(df, ["a", "b", "c"], n_ranges=20).collect()
+    got = [tuple(r)[:3] for r in sorted(placed, key=lambda r: r.row_index)]
+    assert got == sorted(rows) and sorted(r.row_index for r in placed) == list(range(10_000))
+
+
+def test_string_orders(spark):
+    draw = random.Random(9)
+    names = ["doc-%09d" % draw.randrange(10**9) for _ in range(3000)]
+    names += ["en"] * 2000 + ["", "e", "en\0", "en\0\0", "z", "é", "日本", "doc-", "doc-000"]
+    rows = [(s, i) for i, s in enumerate(names)] + [(None, -i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "s string, i long").repartition(4, "i")
+    assert max(group_sizes(df, ["s", "i"], 30)) <= 3 * len(rows) / 30
+    placed = positions.with_row_index(df, ["s", "i"], n_ranges=30).collect()
+    got = [(r.s, r.i) for r in sorted(placed, key=lambda r: r.row_index)]
+    assert got == sorted(rows, key=lambda r: (r[0] is None, (r[0] or "").encode(), r[1]))
+
+
+def test_previous_value_of_frequent_steps_and_null_groups(spark):
+    rows = [(g, 7 if i % 3 else i, i) for g in ("a", None) for i in range(600)]
+    df = spark.createDataFrame(rows, "g string, step long, i long").repartition(3, "i")
+    got = positions.with_previous(df, ["g"], ["step", "i"], "i", "before", 12).collect()
+    assert len(got) == 1200
+    for g in ("a", None):
+        own = sorted((s, i) for h, s, i in rows if h == g)
+        before = {i: b for (_, i), b in zip(own, [None, *(i for _, i in own)])}
+        assert {r.i: r.before for r in got if r.g == g} == before
 
 
 def test_large_keys_that_share_a_double(spark):

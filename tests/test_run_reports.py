@@ -164,14 +164,46 @@ def test_training_curve_ends_and_changes(spark):
         for (r, s), v in losses.items()
     ] + [("[rank 0 | step 40] step_ms=1.0",)]
     curve = rec.training_curve(spark.createDataFrame(data, "line string"))
-    ends = {r["rank"]: r for r in rep.curve_ends(curve).collect()}
+    ends = {r["rank"]: r for r in rep.curve_ends(curve, ["rank"]).collect()}
     assert ends[0].n_points == 39 and ends[1].last_loss == losses[1, 39]
-    for r in rep.curve_changes(curve).collect():
+    for r in rep.curve_changes(curve, ["rank"]).collect():
         before = losses.get((r["rank"], r.step - 1))
         expected = None if before is None else losses[r["rank"], r.step] - before
         assert r.loss_change == expected
 
 
+def test_curves_of_jobs_are_apart_and_ties_go_by_place(spark):
+    rows = [("a", 0, 1, 5.0, 0), ("b", 0, 1, 99.0, 0), ("a", 0, 1, 4.0, 1), ("a", 0, 2, 3.0, 2)]
+    curve = spark.createDataFrame(
+        rows, "job string, rank int, step long, loss double, pos long"
+    ).withColumn("file", F.lit("f"))
+    got = {(r.job, r.pos): r.loss_change for r in rep.curve_changes(curve).collect()}
+    assert got == {("a", 0): None, ("a", 1): -1.0, ("a", 2): -1.0, ("b", 0): None}
+    ends = {r.job: (r.first_loss, r.last_loss) for r in rep.curve_ends(curve).collect()}
+    assert ends == {"a": (5.0, 3.0), "b": (99.0, 99.0)}
+
+
+def test_a_malformed_world_size_costs_nothing(spark):
+    size = 2147483647
+    rows = [("x", 0, size), ("x", 3, size), ("x", 7, size), ("y", 9, 4), ("z", 0, 1), ("v", 0, 2), ("v", 1, 3)]
+    seen = spark.createDataFrame(rows, "job string, rank int, world_size int")
+    got = {r.job: (r.n_missing, r.shown) for r in rep.missing_summary(seen, ["job"]).collect()}
+    shown = [i for i in range(1, 20) if i not in (3, 7)][:15]
+    assert got == {"x": (size - 3, ", ".join(map(str, shown)) + " ..."), "y": (4, "0, 1, 2, 3")}
+    small = rep.missing_ranks(seen.filter("job = 'y'"), ["job"])
+    assert sorted(r["rank"] for r in small.collect()) == [0, 1, 2, 3]
+
+
+def test_all_phases_count_in_the_total(spark):
+    data = [("j", 1, "Training", 1.0), ("j", 1, "Checkpoint", 100.0), ("j", 0, "Training", 5.0)]
+    found = rep.phase_breakdown(
+        spark.createDataFrame(data, "job string, rank int, phase string, seconds double")
+    )
+    got = {r["rank"]: (r.training, r.other_seconds, r.total_seconds) for r in found.collect()}
+    assert got == {1: (1.0, 100.0, 101.0), 0: (5.0, None, 5.0)}
+    assert rep.slowest_rank(found).first().slowest_rank == 1
+
+
 def test_time_summary_text(spark):
     runs = spark.createDataFrame([("1",), ("2",)], "job string")
     phases = spark.createDataFrame(
