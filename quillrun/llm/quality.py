@@ -41,16 +41,27 @@ class Settings:
     entries: int = 300_000
 
 
-def subwords(word: str, settings: Settings) -> list[int]:
-    """Buckets of a word and of its character n-grams, boundaries marked; 0 is free."""
-    marked = f"<{word}>"
-    grams = {
-        marked[i : i + n]
-        for n in range(settings.shortest, settings.longest + 1)
-        for i in range(len(marked) - n + 1)
-    }
-    grams.add(marked)
-    return [1 + xxhash.xxh32_intdigest(g, SEED) % (settings.buckets - 1) for g in grams]
+def subwords(words: list[str], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all words and of their character n-grams, and the place of each's word.
+
+    Words are marked at both ends; all n-grams of one length are hashed at once. Bucket
+    0 is left free.
+    """
+    marked = [f"<{w}>" for w in words]
+    codes = np.frombuffer("".join(marked).encode("utf-32-le"), "<u4").astype(np.uint64)
+    owner = np.repeat(np.arange(len(words)), [len(m) for m in marked])
+    whole = np.fromiter((xxhash.xxh64_intdigest(m, SEED) for m in marked), np.uint64, len(words))
+    hashes, owners = [whole], [np.arange(len(words))]
+    rolling = codes
+    for n in range(2, settings.longest + 1):
+        rolling = rolling[:-1] * np.uint64(0x100000001B3) + codes[n - 1 :]
+        inside = owner[: len(rolling)] == owner[n - 1 :]
+        if n >= settings.shortest:
+            hashes.append(rolling[inside] + np.uint64(n))
+            owners.append(owner[: len(rolling)][inside])
+    mixed = np.concatenate(hashes) * np.uint64(0x9E3779B97F4A7C15)
+    buckets = 1 + (mixed >> np.uint64(32)) % np.uint64(settings.buckets - 1)
+    return buckets.astype(np.int64), np.concatenate(owners)
 
 
 def repeats(words: list[str]) -> int:
@@ -72,12 +83,11 @@ class Model:
 def features(text: str, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all n-grams of a text and how often each occurs; repetitions are 0."""
     words = text.split()
-    found, weights = [0], [repeats(words)]
-    for word, times in Counter(words).items():
-        buckets = subwords(word, settings)
-        found += buckets
-        weights += [times] * len(buckets)
-    counts = np.bincount(found, weights, minlength=settings.buckets)
+    times = Counter(words)
+    buckets, owner = subwords(list(times), settings)
+    weights = np.fromiter(times.values(), np.float64, len(times))[owner]
+    counts = np.bincount(buckets, weights, minlength=settings.buckets)
+    counts[0] += repeats(words)
     kept = np.flatnonzero(counts)
     return kept.astype(np.int32), counts[kept].astype(np.float32)
 
@@ -168,17 +178,27 @@ def fit(
     return train(rows, taught["label_"].to_numpy(), settings)
 
 
-class _Scores(dict):
-    def __init__(self, of, entries: int):
-        super().__init__()
-        self.of, self.entries = of, entries
+class _WordSums:
+    """For each word met, what it adds to the margin (real) and its n-grams (imaginary)."""
+
+    def __init__(self, margins: np.ndarray, settings: Settings):
+        self.margins, self.settings = margins, settings
+        self.known: dict[str, complex] = {}
 
-    def __missing__(self, item):
-        value = self.of(item)
-        if len(self) >= self.entries:
-            self.clear()
-        self[item] = value
-        return value
+    def learn(self, texts_: list[list[str]]) -> None:
+        """Make all words of these texts known; forget others when there are too many."""
+        found = set().union(*texts_)
+        new = found - self.known.keys()
+        if len(new) + len(self.known) > self.settings.entries:
+            self.known.clear()
+            new = found
+        new = list(new)
+        for begin in range(0, len(new), 20_000):
+            part = new[begin : begin + 20_000]
+            buckets, owner = subwords(part, self.settings)
+            sums = np.bincount(owner, self.margins[buckets], minlength=len(part))
+            counts = np.bincount(owner, minlength=len(part))
+            self.known.update(zip(part, (sums + 1j * counts).tolist(), strict=True))
 
 
 def score(
@@ -195,20 +215,15 @@ def score(
     kinds = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
 
     def run(batches):
-        margins = shared.value.tolist()
-
-        def word(item: str) -> complex:
-            found = subwords(item, settings)
-            return complex(sum(map(margins.__getitem__, found)), len(found))
-
-        words = _Scores(word, settings.entries)
+        margins = shared.value
+        words = _WordSums(margins, settings)
         for batch in in_slices(batches):
+            split = [(value or "").split() for value in batch.column(text).to_pylist()]
+            words.learn(split)
             values = []
-            for value in batch.column(text).to_pylist():
-                parts = (value or "").split()
+            for parts in split:
                 again = repeats(parts)
-                # Real parts add up to the margin, imaginary ones to the number of n-grams.
-                total = sum(map(words.__getitem__, parts), 0j)
+                total = sum(map(words.known.__getitem__, parts), 0j)
                 number = total.imag + again
                 margin = bias + ((total.real + again * margins[0]) / number if number else 0.0)
                 values.append(1 / (1 + np.exp(-np.clip(margin, -500, 500))))
