@@ -2,7 +2,8 @@
 
 A word is the sum of the vectors of its own bucket and of its character n-grams; a
 document is the mean over all n-grams of all its words, followed by a linear softmax
-layer. One n-gram more stands for a word that repeats the one before it. Because everything up to the softmax is a mean, a word adds the same
+layer. One n-gram more stands for a word that repeats the one before it, and ``marks`` of
+another for the document as such, so that little text says little. Because everything up to the softmax is a mean, a word adds the same
 numbers to every document; workers remember these for the words they have met.
 """
 
@@ -38,14 +39,15 @@ class Settings:
     epochs: int = 6
     rate: float = 0.5
     sample_rows: int = 4_000
+    marks: int = 32
     entries: int = 300_000
 
 
 def subwords(words: list[str], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all words and of their character n-grams, and the place of each's word.
 
-    Words are marked at both ends; all n-grams of one length are hashed at once. Bucket
-    0 is left free.
+    Words are marked at both ends; all n-grams of one length are hashed at once. Buckets
+    0 and 1 are left free.
     """
     marked = [f"<{w}>" for w in words]
     codes = np.frombuffer("".join(marked).encode("utf-32-le"), "<u4").astype(np.uint64)
@@ -60,7 +62,7 @@ def subwords(words: list[str], settings: Settings) -> tuple[np.ndarray, np.ndarr
             hashes.append(rolling[inside] + np.uint64(n))
             owners.append(owner[: len(rolling)][inside])
     mixed = np.concatenate(hashes) * np.uint64(0x9E3779B97F4A7C15)
-    buckets = 1 + (mixed >> np.uint64(32)) % np.uint64(settings.buckets - 1)
+    buckets = 2 + (mixed >> np.uint64(32)) % np.uint64(settings.buckets - 2)
     return buckets.astype(np.int64), np.concatenate(owners)
 
 
@@ -81,13 +83,17 @@ class Model:
 
 
 def features(text: str, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all n-grams of a text and how often each occurs; repetitions are 0."""
+    """Buckets of all n-grams of a text and how often each occurs.
+
+    Bucket 0 counts repetitions, bucket 1 is the mark of every document.
+    """
     words = text.split()
     times = Counter(words)
     buckets, owner = subwords(list(times), settings)
     weights = np.fromiter(times.values(), np.float64, len(times))[owner]
     counts = np.bincount(buckets, weights, minlength=settings.buckets)
     counts[0] += repeats(words)
+    counts[1] += settings.marks
     kept = np.flatnonzero(counts)
     return kept.astype(np.int32), counts[kept].astype(np.float32)
 
@@ -206,7 +212,7 @@ def score(
 ) -> DataFrame:
     """``docs`` with ``out``: the probability of label 1, from the whole text alone.
 
-    A null or empty text is scored by the bias alone. No shuffle: the model, of a fixed
+    A null or empty text is scored by its marks alone. No shuffle: the model, of a fixed
     size, goes to every task. Other columns are kept as they are, repeated rows too; an
     empty table gives no rows.
     """
@@ -224,8 +230,9 @@ def score(
             for parts in split:
                 again = repeats(parts)
                 total = sum(map(words.known.__getitem__, parts), 0j)
-                number = total.imag + again
-                margin = bias + ((total.real + again * margins[0]) / number if number else 0.0)
+                number = total.imag + again + settings.marks
+                summed = total.real + again * margins[0] + settings.marks * margins[1]
+                margin = bias + summed / number
                 values.append(1 / (1 + np.exp(-np.clip(margin, -500, 500))))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(values, pa.float64())], [*batch.schema.names, out]
