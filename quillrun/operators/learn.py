@@ -12,13 +12,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillrun.functions import text as tx
+from quillrun.session import shuffle_width
+
+
+def _dealt(df: DataFrame) -> DataFrame:
+    """Training rows dealt out evenly: every pass of the solver waits for all tasks."""
+    return df.repartition(shuffle_width(df.sparkSession))
 
 
 def fit_text_classifier(
     df: DataFrame,
     text: str,
     label: str,
-    vocab_size: int = 20_000,
+    vocab_size: int = 1 << 18,
     max_iter: int = 20,
     reg: float = 0.001,
 ) -> PipelineModel:
@@ -26,7 +32,7 @@ def fit_text_classifier(
 
     Rows stay where they are; each step sums the gradients of all partitions in a
     tree. What reaches the driver is the vocabulary and the weights, both bounded by
-    ``vocab_size``. Rows without a class are left out of the training, and the model
+    ``vocab_size``, the most frequent words that are features (Spark's default). Rows without a class are left out of the training, and the model
     needs no class column when it is applied.
     """
     stages = [
@@ -48,7 +54,7 @@ def fit_text_classifier(
             regParam=reg,
         ),
     ]
-    indexer, *rest = Pipeline(stages=stages).fit(df).stages
+    indexer, *rest = Pipeline(stages=stages).fit(_dealt(df)).stages
     names = IndexToString(inputCol="prediction", outputCol="predicted", labels=indexer.labels)
     return PipelineModel(stages=[*rest, names])
 
@@ -73,7 +79,7 @@ def fit_head(
         maxIter=max_iter,
         regParam=reg,
     )
-    return Pipeline(stages=[head]).fit(with_feature_vector(df, features))
+    return Pipeline(stages=[head]).fit(with_feature_vector(_dealt(df), features))
 
 
 def with_feature_vector(df: DataFrame, features: str) -> DataFrame:

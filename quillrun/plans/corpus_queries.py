@@ -8,24 +8,14 @@ from pyspark.sql import functions as F
 from quillrun.functions import arrays, text as tx
 from quillrun.operators import encoding, shards, slices
 from quillrun.operators.positions import with_row_index
-from quillrun.sources.tables import labeled_texts, table, widened
+from quillrun.plans.catalog import registry
+from quillrun.sources.tables import labeled_texts, table
 
 MAX_LEN = 128
 VOCAB = 20_000
 SHARES = {"train": 0.8, "validation": 0.1, "test": 0.1}
 
-QUERIES: dict = {}
-ORACLES: dict = {}
-
-
-def register(name: str, sql: str | None = None):
-    def keep(fn):
-        QUERIES[name] = fn
-        if sql:
-            ORACLES[name] = sql
-        return fn
-
-    return keep
+QUERIES, ORACLES, register = registry()
 
 
 def _docs(spark: SparkSession, folder: str) -> DataFrame:
@@ -34,7 +24,7 @@ def _docs(spark: SparkSession, folder: str) -> DataFrame:
 
 def _texts(spark: SparkSession, folder: str) -> DataFrame:
     """Document texts for costly work on each row."""
-    return widened(_docs(spark, folder).select("doc_id", "text"))
+    return _docs(spark, folder).select("doc_id", "text")
 
 
 def _digest(tokens) -> list:
@@ -354,7 +344,7 @@ encoded AS (
 
 def _encoded(spark, folder) -> DataFrame:
     return encoding.encode(
-        _docs(spark, folder), _vocab(spark, folder), "doc_id", "text", MAX_LEN, VOCAB
+        _docs(spark, folder), _vocab(spark, folder), "doc_id", "text", MAX_LEN
     )
 
 
@@ -385,62 +375,78 @@ def encode_variable(spark, folder):
         _vocab(spark, folder),
         "item_id",
         "text",
-        vocab_size=VOCAB,
     )
     return encoded.select(
         "item_id", F.size("input_ids").cast("long").alias("n_tokens"), _joined("input_ids")
     )
 
 
-@register(
-    "q_30_causal_pairs",
-    f"WITH {SQL_VOCAB}, {_ids_sql('documents', 'doc_id', f'[:{MAX_LEN}]')} "
-    "SELECT a.doc_id, a.pos AS pos, a.id AS token, b.id AS target "
-    "FROM ids a JOIN ids b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1",
+SQL_TARGETS = (
+    f"WITH {SQL_VOCAB}, {_ids_sql('documents', 'doc_id')}, targets AS (SELECT * FROM (SELECT doc_id, "
+    "pos, id AS token, lead(id) OVER (PARTITION BY doc_id ORDER BY pos) AS target FROM ids) "
+    "WHERE target IS NOT NULL) "
 )
+
+
+def _windows(spark, folder, overlap: int = 0) -> DataFrame:
+    return encoding.encode_windows(
+        _docs(spark, folder), _vocab(spark, folder), "doc_id", "text", MAX_LEN, overlap
+    )
+
+
+@register("q_30_causal_pairs", SQL_TARGETS + "SELECT doc_id, pos, token, target FROM targets")
 def causal_pairs(spark, folder):
-    pairs = encoding.causal_pairs(_encoded(spark, folder), "doc_id")
-    return pairs.select("doc_id", *[F.col(c).cast("long") for c in ("pos", "token", "target")])
+    pairs = encoding.causal_pairs(_windows(spark, folder, 1), "doc_id", "chunk")
+    place = F.col("chunk") * MAX_LEN + F.col("pos")
+    return pairs.withColumn("pos", place).select(
+        "doc_id", *[F.col(c).cast("long") for c in ("pos", "token", "target")]
+    )
 
 
 @register(
     "q_30b_causal_labels",
-    f"WITH {SQL_VOCAB}, {_ids_sql('documents', 'doc_id', f'[:{MAX_LEN}]')}, "
-    "targets AS (SELECT doc_id, string_agg(id::VARCHAR, ' ' ORDER BY pos) AS t, count(*) AS m "
-    "FROM ids WHERE pos > 0 GROUP BY doc_id) "
-    f"SELECT doc_id, trim(concat(coalesce(t, ''), repeat(' -100', {MAX_LEN} - coalesce(m, 0)))) "
-    "AS labels FROM documents LEFT JOIN targets USING (doc_id)",
+    SQL_TARGETS
+    + f", chunks AS (SELECT doc_id, pos // {MAX_LEN} AS chunk, count(*) AS m, "
+    "string_agg(target::VARCHAR, ' ' ORDER BY pos) AS t FROM targets GROUP BY ALL) "
+    "SELECT doc_id, coalesce(chunk, 0)::BIGINT AS chunk, trim(concat(coalesce(t, ''), "
+    f"repeat(' -100', {MAX_LEN} - coalesce(m, 0)))) AS labels "
+    "FROM documents LEFT JOIN chunks USING (doc_id)",
 )
 def causal_labels(spark, folder):
     n_real = encoding.real_tokens(F.col("attention_mask"))
     labels = arrays.next_token_labels(F.col("input_ids"), n_real, encoding.IGNORE_ID)
-    return _encoded(spark, folder).withColumn("labels", labels).select("doc_id", _joined("labels"))
+    return (
+        _windows(spark, folder, 1)
+        .withColumn("labels", F.slice(labels, 1, MAX_LEN))
+        .select("doc_id", F.col("chunk").cast("long"), _joined("labels"))
+    )
+
+
+SQL_WINDOWS = (
+    f"SELECT doc_id, n, unnest(range(greatest(1, ceil(n / {MAX_LEN}))::BIGINT)) AS chunk "
+    f"FROM (SELECT doc_id, len({SQL_WORDS}) AS n FROM documents)"
+)
 
 
 @register(
     "q_31_position_ids",
-    f"WITH {SQL_VOCAB}, {_ids_sql('documents', 'doc_id', f'[:{MAX_LEN}]')}, "
-    f"masks AS (SELECT doc_id, i, CASE WHEN i < n THEN 1 ELSE 0 END AS m "
-    f"FROM encoded, range(0, {MAX_LEN}) r(i)), "
-    "placed AS (SELECT doc_id, i, greatest(sum(m) OVER (PARTITION BY doc_id ORDER BY i) - 1, 0) "
-    "AS p FROM masks) "
-    "SELECT doc_id, string_agg(p::BIGINT::VARCHAR, ' ' ORDER BY i) AS position_ids "
-    "FROM placed GROUP BY doc_id",
+    f"SELECT doc_id, chunk, array_to_string(list_transform(range({MAX_LEN}), lambda i: "
+    f"greatest(least(i, least({MAX_LEN}, n - chunk * {MAX_LEN}) - 1), 0)), ' ') AS position_ids "
+    f"FROM ({SQL_WINDOWS})",
 )
 def position_ids(spark, folder):
-    placed = encoding.position_ids(_encoded(spark, folder), "doc_id")
-    return placed.select("doc_id", _joined("position_ids"))
+    placed = encoding.position_ids(_windows(spark, folder), "doc_id", "chunk")
+    return placed.select("doc_id", F.col("chunk").cast("long"), _joined("position_ids"))
 
 
 @register(
     "q_32_token_account",
-    f"SELECT count(*) AS n_rows, sum(least(n, {MAX_LEN}))::BIGINT AS real_tokens, "
-    f"(count(*) * {MAX_LEN})::BIGINT AS padded_tokens, "
-    f"(sum(least(n, {MAX_LEN})) + count(*) * 16)::BIGINT AS with_generated "
-    f"FROM (SELECT len({SQL_WORDS}) AS n FROM documents)",
+    f"SELECT count(*) AS n_rows, sum(least({MAX_LEN}, n - chunk * {MAX_LEN}))::BIGINT AS "
+    f"real_tokens, (count(*) * {MAX_LEN})::BIGINT AS padded_tokens, (sum(least({MAX_LEN}, "
+    f"n - chunk * {MAX_LEN})) + count(*) * 16)::BIGINT AS with_generated FROM ({SQL_WINDOWS})",
 )
 def token_account(spark, folder):
-    return encoding.token_account(_encoded(spark, folder), new_tokens=16)
+    return encoding.word_account(_docs(spark, folder), "text", MAX_LEN, new_tokens=16)
 
 
 SQL_TERMS = (

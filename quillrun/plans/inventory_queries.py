@@ -5,20 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillrun.operators import inventory
+from quillrun.plans.catalog import registry
 from quillrun.sources.tables import table
 
-QUERIES: dict = {}
-ORACLES: dict = {}
-
-
-def register(name: str, sql: str | None = None):
-    def keep(fn):
-        QUERIES[name] = fn
-        if sql:
-            ORACLES[name] = sql
-        return fn
-
-    return keep
+QUERIES, ORACLES, register = registry()
 
 
 def capacity_lines(spark, folder):

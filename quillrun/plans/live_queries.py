@@ -4,28 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quillrun.plans.catalog import registry
 from quillrun.plans import rendering
 from quillrun.plans.run_log_queries import SQL_EVENTS
 from quillrun.session import shared_folder
-from quillrun.sources.tables import table, widened
+from quillrun.sources.tables import table
 from quillrun.streaming import live
 
-QUERIES: dict = {}
-ORACLES: dict = {}
-
-
-def register(name: str, sql: str | None = None):
-    def keep(fn):
-        QUERIES[name] = fn
-        if sql:
-            ORACLES[name] = sql
-        return fn
-
-    return keep
+QUERIES, ORACLES, register = registry()
 
 
 def _lines(spark, folder):
-    return rendering.run_lines(widened(table(spark, folder, "events")))
+    return rendering.run_lines(table(spark, folder, "events"))
 
 
 def _streamed(spark, folder, job):

@@ -48,7 +48,7 @@ def run_lines(events: DataFrame) -> DataFrame:
         node,
     )
     sanity = F.format_string(
-        "NODE n%d OK -> PY 3.11.%d torch 2.3.%d tfm 4.41.2 numpy 1.26.%d datasets 2.19.0 "
+        "NODE n%d OK -> PY 3.11.%d torch 9.1.%d tfm 8.20.3 numpy 7.5.%d datasets 6.0.1 "
         "root /run/%s",
         e % 5,
         u % 2,
@@ -56,7 +56,7 @@ def run_lines(events: DataFrame) -> DataFrame:
         F.floor(e / 4) % 2,
         "job",
     )
-    bar = F.when(e % 5 == 0, "  8%|#         | 10/125 [00:07<00:56,  2.04it/s]").otherwise("")
+    bar = F.when(e % 5 == 0, " 31%|xxx       | 5/16 [00:03<00:07, 1.50it/s]").otherwise("")
     step = F.format_string(
         "%s[rank %d | step %d] step_ms=%.2f samples_per_sec=%.2f tokens_per_sec=%.2f",
         bar,
@@ -112,7 +112,7 @@ def pair_lines(events: DataFrame) -> DataFrame:
         F.col("e"),
         F.col("v") / 100,
         F.col("v"),
-        F.lit(0.000496),
+        F.lit(0.000321),
         F.col("e") % 1000 / 1000,
     )
     return _base(events).select("pos", line.alias("line"))

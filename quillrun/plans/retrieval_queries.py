@@ -6,24 +6,14 @@ from pyspark.sql import functions as F
 
 from quillrun.functions import text as tx
 from quillrun.operators import retrieval
+from quillrun.plans.catalog import registry
 from quillrun.plans import answers
 from quillrun.plans.corpus_queries import SQL_SPACE_TOKENS, SQL_TERMS, SQL_WORDS
 from quillrun.sources.tables import table
 
 K = 3
 
-QUERIES: dict = {}
-ORACLES: dict = {}
-
-
-def register(name: str, sql: str | None = None):
-    def keep(fn):
-        QUERIES[name] = fn
-        if sql:
-            ORACLES[name] = sql
-        return fn
-
-    return keep
+QUERIES, ORACLES, register = registry()
 
 
 def _corpus(spark, folder):
@@ -184,8 +174,9 @@ def tfidf_queries(spark, folder):
 
 @register(
     "q_40_cosine",
-    f"WITH {SQL_TFIDF}, {SQL_ASKED} SELECT query_id, doc_id, round(score, 6) AS score "
-    "FROM tfidf_scores",
+    f"WITH {SQL_TFIDF}, {SQL_ASKED} SELECT query_id, count(*) AS n_pairs, "
+    "round(sum(score), 4) AS total, round(max(score), 6) AS largest "
+    "FROM tfidf_scores GROUP BY query_id",
 )
 def cosine(spark, folder):
     corpus, asked = _corpus(spark, folder), _asked(spark, folder)
@@ -195,7 +186,11 @@ def cosine(spark, folder):
         retrieval.tfidf_weights(asked, fitted, "query_id", "text"),
         retrieval.batch_is_small(asked, "text"),
     )
-    return scores.withColumn("score", F.round("score", 6))
+    return scores.groupBy("query_id").agg(
+        F.count(F.lit(1)).alias("n_pairs"),
+        F.round(F.sum("score"), 4).alias("total"),
+        F.round(F.max("score"), 6).alias("largest"),
+    )
 
 
 @register(

@@ -11,22 +11,12 @@ from quillrun.functions import formats
 from quillrun.functions import lines as ln
 from quillrun.operators import run_records as rec
 from quillrun.operators import run_reports as rep
+from quillrun.plans.catalog import registry
 from quillrun.plans import rendering
 from quillrun.plans.run_report import run_report
-from quillrun.sources.tables import table, widened
+from quillrun.sources.tables import table
 
-QUERIES: dict = {}
-ORACLES: dict = {}
-
-
-def register(name: str, sql: str | None = None):
-    def keep(fn):
-        QUERIES[name] = fn
-        if sql:
-            ORACLES[name] = sql
-        return fn
-
-    return keep
+QUERIES, ORACLES, register = registry()
 
 
 def _events(spark, folder):
@@ -35,7 +25,7 @@ def _events(spark, folder):
 
 def _many(spark, folder):
     """Events for costly work on each row."""
-    return widened(_events(spark, folder))
+    return _events(spark, folder)
 
 
 def _lines(spark, folder):
@@ -64,8 +54,8 @@ rendezvous AS (
 ),
 sanity AS (
   SELECT job, file, pos, concat('n', pos % 5) AS host, concat('3.11.', u % 2) AS python,
-    concat('2.3.', pos % 3) AS torch, '4.41.2' AS tfm, concat('1.26.', pos // 4 % 2) AS numpy,
-    '2.19.0' AS datasets, concat('/run/', job) AS root
+    concat('9.1.', pos % 3) AS torch, '8.20.3' AS tfm, concat('7.5.', pos // 4 % 2) AS numpy,
+    '6.0.1' AS datasets, concat('/run/', job) AS root
   FROM e WHERE t = 'signup' AND pos % 2 = 1
 ),
 steps AS (
@@ -181,7 +171,7 @@ def _long(df, *columns):
 @register(
     "q_34_pair_lines",
     "SELECT event_id AS pos, event_id % 8 AS rank, event_id AS step, round(value / 100, 4) AS loss,"
-    " value AS grad_norm, 0.000496::DOUBLE AS learning_rate, (event_id % 1000 / 1000.0)::DOUBLE "
+    " value AS grad_norm, 0.000321::DOUBLE AS learning_rate, (event_id % 1000 / 1000.0)::DOUBLE "
     "AS epoch, 4::BIGINT AS n_pairs FROM events",
 )
 def pair_lines(spark, folder):

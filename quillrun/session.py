@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -33,15 +32,8 @@ def shuffle_width(spark: SparkSession) -> int:
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder of the cluster (``spark.checkpoint.dir``).
 
-    Only where that setting is absent, as in tests on one machine, a temporary
-    folder is made and stored in the session, so that later calls share it.
+    Where that setting is absent, the warehouse stands in, which executors share too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = spark.conf.get("quillrun.local.folder", None)
-        if not root:
-            root = tempfile.mkdtemp(prefix="quillrun-")
-            spark.conf.set("quillrun.local.folder", root)
+    root = root or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

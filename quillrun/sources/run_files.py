@@ -86,14 +86,15 @@ def read_corpus(
     path: str,
     max_len: int,
     vocab: DataFrame | None = None,
-    vocab_size: int | None = None,
     key: str = "id",
+    *,
+    fit_terms: int | None = None,
 ) -> DataFrame:
     """Token table of a path: taken as it is when encoded, else encoded here.
 
     A Parquet table with ids and mask is used directly; one with ``key`` and ``text``
-    is encoded. Anything else is read as one text per line. Without ``vocab`` the
-    vocabulary is fitted on these texts.
+    is encoded. Anything else is read as one text per line. Texts need either ``vocab``
+    or ``fit_terms``, the number of terms of a vocabulary that is fitted on them.
     """
     try:
         texts = spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
@@ -106,9 +107,10 @@ def read_corpus(
             F.col("line").alias("text"),
         )
     if vocab is None:
-        vocab_size = vocab_size or 20_000
-        vocab = encoding.fit_vocab(texts, "text", vocab_size)
-    return encoding.encode(texts, vocab, key, "text", max_len, vocab_size)
+        if fit_terms is None:
+            raise ValueError("raw texts need a vocabulary, or fit_terms to fit one")
+        vocab = encoding.fit_vocab(texts, "text", fit_terms)
+    return encoding.encode(texts, vocab, key, "text", max_len)
 
 
 def read_logs(spark: SparkSession, folder: str, job: str) -> DataFrame:

@@ -20,17 +20,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def widened(df: DataFrame) -> DataFrame:
-    """Rows spread over all cores when a table has fewer pieces than there are cores.
-
-    A piece of a file without the start of a row group gives an empty task, so a small
-    table may be one busy task, however costly the work on its rows. A table with more
-    pieces than cores is left alone: a large table is never shuffled for this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() <= cores else df
-
-
 def read_labeled(spark: SparkSession, path: str, split: str) -> DataFrame:
     """Labelled texts ``(id, text, label)`` of one split.
 

@@ -52,7 +52,9 @@ def test_queries_file(spark, tmp_path):
 
 def test_corpus_encoded_or_raw(spark, tmp_path):
     path = write(tmp_path / "raw.txt", "aa bb\n\naa cc dd\n")
-    encoded = run_files.read_corpus(spark, path, max_len=3)
+    with pytest.raises(ValueError):
+        run_files.read_corpus(spark, path, max_len=3)
+    encoded = run_files.read_corpus(spark, path, max_len=3, fit_terms=100)
     assert encoding.is_encoded(encoded)
     assert sorted(r.input_ids for r in encoded.collect()) == [[0, 0, 0], [2, 3, 0], [2, 4, 5]]
     stored = tables.materialize(encoded, str(tmp_path / "stored"))
@@ -60,7 +62,7 @@ def test_corpus_encoded_or_raw(spark, tmp_path):
     assert again.exceptAll(stored).count() == 0 and again.count() == 3
     raw = spark.createDataFrame([(1, "aa bb")], "id long, text string")
     tables.materialize(raw, str(tmp_path / "raw_table"))
-    row = run_files.read_corpus(spark, str(tmp_path / "raw_table"), max_len=3).first()
+    row = run_files.read_corpus(spark, str(tmp_path / "raw_table"), max_len=3, fit_terms=9).first()
     assert (row.id, row.input_ids) == (1, [2, 3, 0])
 
 

@@ -13,7 +13,7 @@ CLEAN = [
     "torchrun: nnodes=1 nproc_per_node=2 node_rank=0 rdzv=n1:29500",
     "[RANK 0] WORLD_SIZE=2",
     "[RANK 1] WORLD_SIZE=2",
-    "NODE n1 OK -> PY 3.11.1 torch 2.3.1 tfm 4.41.2 numpy 1.26.4 datasets 2.19.0 root /x",
+    "NODE n1 OK -> PY 3.11.1 torch 9.1.1 tfm 8.20.3 numpy 7.5.4 datasets 6.0.1 root /x",
     "[rank 0 | step 1] step_ms=10.00 samples_per_sec=100.00 tokens_per_sec=12800.00",
     " 8%|# | 2/9 [00:01][rank 1 | step 1] step_ms=20.00 samples_per_sec=50.00 tokens_per_sec=6400.00",
     "[RANK 0] TRAIN_RUNTIME_SEC=25.000",
