@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -15,17 +13,13 @@ from pyspark.sql import functions as F
 def _shared_folder(spark: SparkSession) -> None:
     """Makes ``checkpoint()`` usable: the folder of ``spark.checkpoint.dir``.
 
-    A temporary folder stands in only in local mode without that setting.
+    Where that setting is absent, the warehouse stands in, which executors share too.
     """
     context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not context.master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = os.path.join(tempfile.gettempdir(), "quillrun-checkpoints")
-    context.setCheckpointDir(folder)
+    if not context.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        context.setCheckpointDir(folder or f"{warehouse}/_shared")
 
 
 def stored(df: DataFrame) -> DataFrame:
