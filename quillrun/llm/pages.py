@@ -1,17 +1,18 @@
-"""Main text of web pages: marked parts, and differences to the page of the nearest URL."""
+"""Main text of web pages: marked parts, and differences to the pages of the nearest URLs."""
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillrun.llm.storage import in_slices, stored
+from quillrun.llm.storage import in_slices, rewritten, stored
 from quillrun.session import shuffle_width
 
 #: Whole elements that hold no main text, wherever they stand.
@@ -38,6 +39,14 @@ INLINE = frozenset(
     "rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 OUTSIDE, INSIDE, BOILERPLATE = 0, 1, 2
+#: So many different pages on either side of a page are asked which lines they share.
+SIDE = 3
+#: A page that shares more of the text than this is a copy of it, and says nothing.
+COPY = 0.9
+#: One that shares more than this is asked only if no other shares less.
+ALIKE = 0.5
+#: So many pages in URL order are compared in one go.
+BLOCK = 64
 
 
 class _Lines(HTMLParser):
@@ -148,133 +157,181 @@ def common_lines(a: list[int], b: list[int]) -> list[int]:
     return sorted(found)
 
 
-def nearest_pages(pages: DataFrame, row: str, url: str) -> DataFrame:
-    """``(row, near_)``: of each page, the page of its host with the nearest path.
+def shared_lines(
+    values: list[int], marks: list[int], copied: bool, others: list[list[int]]
+) -> list[bool]:
+    """Which lines of a page belong to the site, by the pages around it.
 
-    Pages are sorted by host and path in ranges, so that a host with most of the pages is
-    many ranges; neighbours in that order are the candidates, the less edited path wins,
-    the earlier one of equals. Only the first and the last page of each range meet in
-    one place.
+    ``values`` are line values of ``_value``; ``copied`` tells of an equal page elsewhere.
+    A line goes if most of the pages asked share it. A page that shares nearly all the text
+    is a copy and is not asked. Where half of the text or more is in ``article`` or ``main``,
+    that part is the text, and copies may decide about the other lines.
     """
-    spark = pages.sparkSession
-    # Scheme, host, and path up to the query, without a trailing slash.
-    shape = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)([^?#]*)"
-    keys = (
-        pages.select(row, F.coalesce(F.col(url).cast("string"), F.lit("")).alias("url_"))
-        .select(
-            row,
-            F.lower(F.regexp_extract("url_", shape, 1)).alias("host"),
-            F.regexp_replace(F.regexp_extract("url_", shape, 2), "/+$", "").alias("path"),
-        )
-        .dropDuplicates([row])
-    )
-    laid = stored(
-        keys.repartitionByRange(shuffle_width(spark), "host", "path", row)
-        .sortWithinPartitions("host", "path", row)
-        .select(
-            row,
-            "host",
-            "path",
-            F.spark_partition_id().alias("range_"),
-            F.monotonically_increasing_id().alias("at_"),
-        )
-    )
-    page = F.struct(row, "host", "path")
-    ends = laid.groupBy("range_").agg(
-        F.min_by(page, "at_").alias("head"), F.max_by(page, "at_").alias("tail")
-    )
-    along = Window.orderBy("range_")  # as many rows as ranges
-    ends = ends.select(
-        "range_", F.lag("tail").over(along).alias("tail"), F.lead("head").over(along).alias("head")
-    )
-    inside = Window.partitionBy("range_").orderBy("at_")
-    both = (
-        laid.select(
-            "*", F.lag(page).over(inside).alias("lag_"), F.lead(page).over(inside).alias("lead_")
-        )
-        .join(F.broadcast(ends), "range_")
-        .select(
-            row,
-            "host",
-            "path",
-            F.coalesce("lag_", "tail").alias("before_"),
-            F.coalesce("lead_", "head").alias("after_"),
-        )
-    )
-    away = lambda side: F.when(
-        F.col(f"{side}.host") == F.col("host"), F.levenshtein(F.col(f"{side}.path"), F.col("path"))
-    )
-    return (
-        both.withColumns({"b_": away("before_"), "a_": away("after_")})
-        .select(
-            row,
-            F.when(F.col("a_").isNull() | (F.col("b_") <= F.col("a_")), F.when(F.col("b_").isNotNull(), F.col(f"before_.{row}")))
-            .otherwise(F.col(f"after_.{row}"))
-            .alias("near_"),
-        )
-        .filter("near_ IS NOT NULL")
-    )
+    sizes = np.array([v & SIZE for v in values], np.int64)
+    inside = np.array([m == INSIDE for m in marks], bool)
+    spoken = 2 * int(sizes[inside].sum()) >= int(sizes.sum()) and bool(inside.any())
+    text = inside if spoken else np.ones(len(values), bool)
+    total = max(int(sizes[text].sum()), 1)
+    seen = []
+    for other in others:
+        shared = np.zeros(len(values), bool)
+        shared[common_lines(values, other)] = True
+        seen.append((int(sizes[shared & text].sum()) / total, shared))
+
+    def most(asked: list[np.ndarray]) -> np.ndarray:
+        return 2 * np.sum(asked, axis=0) > len(asked) if asked else np.zeros(len(values), bool)
+
+    asked = [s for part, s in seen if part <= ALIKE] or [s for part, s in seen if part <= COPY]
+    frame = most([s for _, s in seen]) | copied
+    return np.where(text, most(asked), frame).tolist()
+
+
+#: The low bits of a line value hold its length, the others its hash.
+SIZE = 0xFFFF
+
+
+def _value(line: str) -> int:
+    return ((xxhash.xxh64_intdigest(line) & ~SIZE) | min(len(line), SIZE)) - (1 << 63)
+
+
+def _undecided(html: str) -> list[tuple[str, int]]:
+    return [(x, m) for x, m in page_lines(html) if m != BOILERPLATE]
+
+
+def _group(host: str, values: list[int], marks: list[int]) -> bytes:
+    """One key for all pages of a host with the same lines."""
+    said = np.array(values, np.int64).tobytes() + bytes(marks)
+    return xxhash.xxh3_128_digest(len(said).to_bytes(8, "little") + said + host.encode())
 
 
 def _parsed(pages: DataFrame, with_text: bool) -> DataFrame:
-    """``row_`` with ``hashes`` of all lines, or with key, URL, ``lines`` and ``marks``."""
+    """The further columns and ``group_``, with the lines that no mark decides.
+
+    As ``lines``, or as their ``values`` and ``marks``.
+    """
+    kept = [c for c in pages.columns if c not in ("html_", "host_" if with_text else "")]
+    kinds = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in kept)
 
     def run(batches):
         for batch in in_slices(batches):
-            found = [page_lines(h) for h in batch.column("html_").to_pylist()]
+            found = [_undecided(h) for h in batch.column("html_").to_pylist()]
+            values = [[_value(x) for x, _ in p] for p in found]
+            marks = [[m for _, m in p] for p in found]
+            hosts = batch.column("host_").to_pylist()
+            groups = [_group(*g) for g in zip(hosts, values, marks, strict=True)]
+            more = {"group_": pa.array(groups, pa.binary())}
             if with_text:
-                # What goes in any case is not carried along, but keeps its place.
-                more = [
-                    pa.array(
-                        [[x if m != BOILERPLATE else "" for x, m in p] for p in found],
-                        pa.list_(pa.string()),
-                    ),
-                    pa.array([[m for _, m in p] for p in found], pa.list_(pa.int32())),
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c) for c in kept), *more], [*kept, "lines", "marks"]
-                )
+                lines = [[x for x, _ in p] for p in found]
+                more["lines"] = pa.array(lines, pa.list_(pa.string()))
             else:
-                hashed = [
-                    [xxhash.xxh64_intdigest(x) - (1 << 63) for x, _ in p] for p in found
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("row_"), pa.array(hashed, pa.list_(pa.int64()))],
-                    ["row_", "hashes"],
-                )
-
-    if not with_text:
-        return pages.mapInArrow(run, "row_ binary, hashes array<long>")
-    kept = [c for c in pages.columns if c != "html_"]
-    kinds = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in kept)
-    return pages.mapInArrow(run, f"{kinds}, lines array<string>, marks array<int>")
+                more["values"] = pa.array(values, pa.list_(pa.int64()))
+                more["marks"] = pa.array([bytes(m) for m in marks], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in kept), *more.values()], [*kept, *more]
+            )
+
+    last = "lines array<string>" if with_text else "values array<long>, marks binary"
+    return pages.mapInArrow(run, f"{kinds}, group_ binary, {last}")
 
 
-def shared_places(pages: DataFrame, url: str) -> DataFrame:
-    """``(row_, shared)``: for each line, whether the nearest page shares it, in order."""
-    hashes = stored(_parsed(pages, False).groupBy("row_").agg(F.first("hashes").alias("hashes")))
-    pairs = (
-        nearest_pages(pages, "row_", url)
-        .join(hashes, "row_")
-        .join(
-            hashes.select(F.col("row_").alias("near_"), F.col("hashes").alias("others")), "near_"
+def _in_url_order(groups: DataFrame) -> DataFrame:
+    """``groups`` with ``at_``, their place by host, path and group, counted from 0.
+
+    Sorted in ranges, so that a host with most of the pages is many ranges.
+    """
+    order = ["host_", "path_", "group_"]
+    laid = stored(
+        groups.repartitionByRange(shuffle_width(groups.sparkSession), *order)
+        .sortWithinPartitions(*order)
+        .withColumn("id_", F.monotonically_increasing_id())
+    )
+    # The id is the partition, and below 33 bits the place in it.
+    range_ = F.shiftright("id_", 33).alias("range_")
+    before = Window.orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        laid.groupBy(range_)
+        .count()
+        .select("range_", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start_"))
+    )
+    return (
+        laid.withColumn("range_", range_)
+        .join(F.broadcast(starts), "range_")
+        .withColumn("at_", F.col("start_") + F.col("id_").bitwiseAND((1 << 33) - 1))
+        .drop("range_", "start_", "id_")
+    )
+
+
+def site_lines(pages: DataFrame) -> DataFrame:
+    """``(group_, gone)``: for each undecided line of a group, whether it is the site's.
+
+    Groups without such a line are left out.
+    """
+    groups = stored(
+        _parsed(pages, False)
+        .filter(F.size("values") > 0)
+        .groupBy("host_", "group_")
+        .agg(
+            F.min("path_").alias("path_"),
+            (F.min("page_") != F.max("page_")).alias("copied"),
+            F.first("values").alias("values"),
+            F.first("marks").alias("marks"),
         )
-        .select("row_", "hashes", "others")
     )
+    block = lambda by: F.floor((F.col("at_") + by) / BLOCK).cast("long")
+    blocks = (
+        _in_url_order(groups)
+        .withColumn("block", F.explode(F.array_distinct(F.array(*map(block, (-SIDE, 0, SIDE))))))
+        .select("block", "at_", "host_", "group_", "copied", "values", "marks")
+        .repartition(shuffle_width(pages.sparkSession), "block")
+        .sortWithinPartitions("block", "at_")
+    )
+
+    def decided(block: list[dict]) -> Iterable[tuple[bytes, list[bool]]]:
+        for k, page in enumerate(block):
+            if page["at_"] // BLOCK != page["block"]:
+                continue
+            around = block[max(k - SIDE, 0) : k] + block[k + 1 : k + 1 + SIDE]
+            others = [
+                other["values"]
+                for other in around
+                if other["host_"] == page["host_"] and other["values"] != page["values"]
+            ]
+            gone = shared_lines(page["values"], list(page["marks"]), page["copied"], others)
+            if any(gone):
+                yield page["group_"], gone
+
+    def batch_of(found) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([g for g, _ in found], pa.binary()),
+                pa.array([x for _, x in found], pa.list_(pa.bool_())),
+            ],
+            ["group_", "gone"],
+        )
 
-    def align(batches):
+    def run(batches):
+        held: list[dict] = []
         for batch in in_slices(batches):
-            found = []
-            for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                shared = [False] * len(a)
-                for place in common_lines(a, b):
-                    shared[place] = True
-                found.append(shared)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.list_(pa.bool_()))], ["row_", "shared"]
-            )
+            found: list = []
+            for page in batch.to_pylist():
+                if held and held[0]["block"] != page["block"]:
+                    found.extend(decided(held))
+                    held = []
+                held.append(page)
+            yield batch_of(found)
+        yield batch_of(list(decided(held)))
+
+    return blocks.mapInArrow(run, "group_ binary, gone array<boolean>")
 
-    return pairs.mapInArrow(align, "row_ binary, shared array<boolean>")
+
+def _host_and_path(url: str) -> tuple[Column, Column]:
+    # Scheme, host, and path up to the query, without a trailing slash.
+    shape = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)([^?#]*)"
+    said = F.coalesce(F.col(url).cast("string"), F.lit(""))
+    return (
+        F.lower(F.regexp_extract(said, shape, 1)),
+        F.regexp_replace(F.regexp_extract(said, shape, 2), "/+$", ""),
+    )
 
 
 def main_text(
@@ -282,33 +339,33 @@ def main_text(
 ) -> DataFrame:
     """``(key, url, text)`` of every row: lines of the main text, joined by line ends.
 
-    A page is cut into lines at block elements. Each page is paired with the one of its
-    host whose path is nearest, and the lines of both are aligned by a longest common
-    subsequence: what they share is the frame of the site and goes. Elements that say
-    themselves that they are no text (menus, footers, forms, adverts, scripts) go too.
-    Lines inside of ``article`` or ``main`` are text by the page's own word and stay even
-    if shared, for two copies of an article share all of it.
+    A page is cut into lines at block elements. Elements that say themselves that they are
+    no text (menus, footers, forms, adverts, scripts) go. Pages of a host with the same
+    other lines are one page; each is aligned, by longest common subsequences, with the
+    three different ones of its host before it and after it in path order, and lines that
+    most of these share are the frame of the site and go, inside of ``article`` and
+    ``main`` too. Pages that share nearly all the text are copies and do not count, save
+    for lines outside of an ``article`` or ``main`` that holds most of the text.
 
     A null page is an empty one, with empty text; a null URL has no neighbours but other
     such; equal rows are one page when neighbours are sought and each keep a row; null
     keys too; an empty table gives no rows; further columns are not read.
     """
-    pages = pages.select(
-        F.col(key).alias(key),
-        F.col(url).alias(url),
-        F.coalesce(F.col(html).cast("string"), F.lit("")).alias("html_"),
-    )
+    host, path = _host_and_path(url)
     said = lambda c: F.coalesce(F.concat(F.lit("+"), F.col(c).cast("string")), F.lit("-"))
-    pages = pages.withColumn(
-        "row_", F.unhex(F.md5(F.concat(said(key), F.lit(" "), said(url), F.lit(" "), "html_")))
+    text = F.coalesce(F.col(html).cast("string"), F.lit("")).alias("html_")
+    found = site_lines(
+        pages.select(
+            F.xxhash64(said(key), said(url)).alias("page_"),
+            host.alias("host_"),
+            path.alias("path_"),
+            text,
+        )
     )
-    lines = _parsed(pages, True).join(shared_places(pages, url), "row_", "left")
-    known = F.zip_with(
-        F.zip_with("lines", "marks", lambda x, m: F.struct(x.alias("x"), m.alias("m"))),
-        F.coalesce("shared", F.transform("marks", lambda m: F.lit(False))),
-        lambda p, s: F.struct(
-            p["x"].alias("x"), ((p["m"] == INSIDE) | ((p["m"] == OUTSIDE) & ~s)).alias("kept")
-        ),
+    lines = _parsed(
+        pages.select(F.col(key).alias(key), F.col(url).alias(url), host.alias("host_"), text), True
     )
-    kept = F.filter(known, lambda p: p["kept"])
-    return lines.select(key, url, F.array_join(F.transform(kept, lambda p: p["x"]), "\n").alias("text"))
+    # Written first: where the lines are few, no text is shuffled for them.
+    lines = lines.join(rewritten(found, "site_lines"), "group_", "left")
+    kept = F.filter("lines", lambda x, at: ~F.coalesce(F.get("gone", at), F.lit(False)))
+    return lines.select(key, url, F.array_join(kept, "\n").alias("text"))

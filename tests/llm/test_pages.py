@@ -104,3 +104,34 @@ def test_query(spark, folder):
         blocks = [" ".join(unescape(re.sub(r"<[^>]*>", " ", b)).split()) for b in blocks]
         assert r.text == "\n".join(b for b in blocks if b)
         assert r.n_chars == len(r.text) and r.url == table[r.page_id].url
+
+
+def test_copies_without_marks_keep_their_text(spark):
+    copy = page("Logo", "Menu", "the same story", "Imprint")
+    rows = [(i, f"http://a.org/news/1?from={i}", copy) for i in range(4)]
+    rows += [(9, "http://a.org/news/2", page("Logo", "Menu", "another story", "Imprint"))]
+    assert sorted(texts_of(spark, rows)) == [
+        *((i, "the same story") for i in range(4)), (9, "another story"),
+    ]
+    assert {t for _, t in texts_of(spark, rows[:4])} == {"Logo\nMenu\nthe same story\nImprint"}
+
+
+def test_lines_of_the_site_go_inside_main_too(spark):
+    rows = [
+        (i, f"http://a.org/{i}", f"<main><div>Subscribers read more</div><p>A story of its own, {i}</p>"
+         f"<p>{'shared by two' if i in (3, 4) else f'single {i}'}</p></main>")
+        for i in range(8)
+    ]
+    for i, text in texts_of(spark, rows):
+        last = "shared by two" if i in (3, 4) else f"single {i}"
+        assert text == f"A story of its own, {i}\n{last}"
+
+
+def test_near_copies_of_an_article_keep_it(spark):
+    story = "".join(f"<p>Sentence {k} of a long story that is told again.</p>" for k in range(20))
+    rows = [
+        (i, f"http://a.org/{i:02d}", f"<div>Frame</div><article>{story}<p>Visit {i}</p></article>")
+        for i in range(10)
+    ]
+    assert all(text.count("told again") == 20 for _, text in texts_of(spark, rows))
+    assert not any("Frame" in text for _, text in texts_of(spark, rows))
