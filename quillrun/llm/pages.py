@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Container, Iterable
 from html.parser import HTMLParser
 
 import numpy as np
@@ -20,13 +20,21 @@ SKIPPED = frozenset(
     "script style noscript template head title nav footer aside form button select textarea "
     "option dialog menu iframe object canvas svg math audio video".split()
 )
-#: The same, as words of a class, an id or a role.
+#: The same, as a token of a class, an id or a role.
 MARKED = frozenset(
     "ad ads advert advertisement advertising sponsor sponsored promo promotion banner cookie "
     "cookies consent notice newsletter subscribe popup modal nav navbar navigation menu "
     "breadcrumb breadcrumbs sidebar footer masthead share sharing social comment comments "
     "disqus related recommended complementary contentinfo search alert".split()
 )
+#: What may stand beside such a word in a token that is a mark, as in site-footer or ad-slot-3.
+BESIDE = frozenset(
+    "area articles bar block bottom box button buttons container form global group header holder icons "
+    "inner item items left links list main outer page panel post posts primary right row "
+    "secondary section signup site slot stories thread top unit widget wrap wrapper".split()
+)
+#: Elements whose id is not made of their own words, as the id of a heading is.
+ID_MARKED = frozenset("div section ul ol dl table header center iframe".split())
 #: Elements that never carry such a word for themselves.
 NEVER_MARKED = frozenset(["html", "body", "article", "main"])
 MAIN = frozenset(["article", "main"])
@@ -38,7 +46,48 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q "
     "rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
-OUTSIDE, INSIDE, BOILERPLATE = 0, 1, 2
+#: Elements whose start ends an open paragraph.
+ENDS_P = frozenset(
+    "address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption "
+    "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre search "
+    "section summary table ul".split()
+)
+#: Elements that keep what is in them from ending a paragraph or an item around them.
+SCOPE = frozenset("html table td th caption button object template article main".split())
+_HEADINGS = [f"h{n}" for n in range(1, 7)]
+#: A start tag ends an open element of the first set, unless one of the second is between;
+#: None is any element but inline ones.
+IMPLIED_END = {
+    "li": ({"li"}, {"ul", "ol", "menu"} | SCOPE),
+    "dt": ({"dt", "dd"}, {"dl"} | SCOPE),
+    "dd": ({"dt", "dd"}, {"dl"} | SCOPE),
+    "option": ({"option"}, {"select", "datalist", "optgroup"}),
+    "optgroup": ({"option", "optgroup"}, {"select"}),
+    "td": ({"td", "th"}, {"tr", "table"}),
+    "th": ({"td", "th"}, {"tr", "table"}),
+    "tr": ({"tr", "caption", "colgroup"}, {"table"}),
+    **{k: ({"thead", "tbody", "tfoot", "caption"}, {"table"}) for k in ("thead", "tbody", "tfoot")},
+    **{k: (set(_HEADINGS), None) for k in _HEADINGS},
+}
+#: Elements that stay in the head of a page.
+HEAD = frozenset("base bgsound link meta title script style noscript template".split())
+OUTSIDE, INSIDE, BOILERPLATE, WEAK = 0, 1, 2, 3
+
+
+def _mark(tag: str, attrs: list[tuple[str, str | None]]) -> int:
+    """What class, id and role say: ``BOILERPLATE``, ``WEAK`` for a word among others, or 0."""
+    found = 0
+    for name, value in attrs:
+        if name not in ("class", "id", "role") or not value:
+            continue
+        for token in value.lower().split():
+            words = [w for w in re.split(r"[^a-z]+", token) if w]
+            if MARKED.isdisjoint(words):
+                continue
+            if (name != "id" or tag in ID_MARKED) and all(w in MARKED or w in BESIDE for w in words):
+                return BOILERPLATE
+            found = WEAK
+    return found
 #: So many different pages on either side of a page are asked which lines they share.
 SIDE = 3
 #: A page that shares more of the text than this is a copy of it, and says nothing.
@@ -50,39 +99,67 @@ BLOCK = 64
 
 
 class _Lines(HTMLParser):
-    """Lines of a page with what is known of each: in the article, boilerplate, neither."""
+    """Lines of a page with what is known of each: in the article, boilerplate, weak, neither."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, bool]] = []  # tag, skipped, inside
+        self.open: list[tuple[str, int, bool]] = []  # tag, mark, inside
         self.parts: list[str] = []
         self.lines: list[tuple[str, int]] = []
 
-    def _state(self) -> tuple[bool, bool]:
-        return self.open[-1][1:] if self.open else (False, False)
+    def _state(self) -> tuple[int, bool]:
+        return self.open[-1][1:] if self.open else (0, False)
 
     def flush(self) -> None:
         line = " ".join("".join(self.parts).split())
         self.parts.clear()
         if line:
-            skipped, inside = self._state()
-            self.lines.append((line, BOILERPLATE if skipped else INSIDE if inside else OUTSIDE))
+            mark, inside = self._state()
+            self.lines.append((line, mark or (INSIDE if inside else OUTSIDE)))
+
+    def _end(self, at: int) -> None:
+        if any(t not in INLINE or m for t, m, _ in self.open[at:]):
+            self.flush()
+        del self.open[at:]
+
+    def _end_implied(self, tags: Container[str], within: Container[str] | None) -> None:
+        for at in range(len(self.open) - 1, -1, -1):
+            tag = self.open[at][0]
+            if tag in tags:
+                self._end(at)
+                return
+            if tag in within if within is not None else tag not in INLINE:
+                return
+
+    def _end_head(self) -> None:
+        if self.open and self.open[-1][0] == "head":
+            self._end(len(self.open) - 1)
 
     def handle_starttag(self, tag, attrs):
+        if tag not in HEAD and tag != "head":
+            self._end_head()
+        if tag in ENDS_P:
+            self._end_implied({"p"}, SCOPE)
+        if tag in IMPLIED_END:
+            self._end_implied(*IMPLIED_END[tag])
         if tag == "br":
             self.parts.append(" ")
         if tag in VOID:
             if tag not in INLINE:
                 self.flush()
             return
-        skipped, inside = self._state()
-        marked = tag in SKIPPED or (tag == "header" and not inside)
-        if not marked and tag not in NEVER_MARKED:
-            said = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v)
-            marked = bool(said) and not MARKED.isdisjoint(re.split(r"[^a-z]+", said.lower()))
-        if marked or tag not in INLINE:
+        mark, inside = self._state()
+        own = 0
+        if tag in SKIPPED or (tag == "header" and not inside):
+            own = BOILERPLATE
+        elif tag not in NEVER_MARKED:
+            own = _mark(tag, attrs)
+        if own or tag not in INLINE:
             self.flush()
-        self.open.append((tag, skipped or marked, inside or tag in MAIN))
+        if tag in MAIN and mark == WEAK:
+            mark = 0
+        mark = BOILERPLATE if BOILERPLATE in (mark, own) else mark or own
+        self.open.append((tag, mark, inside or tag in MAIN))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -91,13 +168,12 @@ class _Lines(HTMLParser):
 
     def handle_endtag(self, tag):
         at = next((k for k in range(len(self.open) - 1, -1, -1) if self.open[k][0] == tag), None)
-        if at is None:
-            return
-        if any(t not in INLINE or s for t, s, _ in self.open[at:]):
-            self.flush()
-        del self.open[at:]
+        if at is not None:
+            self._end(at)
 
     def handle_data(self, data):
+        if data.strip():
+            self._end_head()
         self.parts.append(data)
 
 
@@ -163,7 +239,7 @@ def shared_lines(
     """Which lines of a page belong to the site, by the pages around it.
 
     ``values`` are line values of ``_value``; ``copied`` tells of an equal page elsewhere.
-    A line goes if most of the pages asked share it. A page that shares nearly all the text
+    A line goes if most of the pages asked share it, a weakly marked one if any does. A page that shares nearly all the text
     is a copy and is not asked. Where half of the text or more is in ``article`` or ``main``,
     that part is the text, and copies may decide about the other lines.
     """
@@ -183,7 +259,9 @@ def shared_lines(
 
     asked = [s for part, s in seen if part <= ALIKE] or [s for part, s in seen if part <= COPY]
     frame = most([s for _, s in seen]) | copied
-    return np.where(text, most(asked), frame).tolist()
+    weak = np.array([m == WEAK for m in marks], bool)
+    gone = np.where(text, most(asked), frame)
+    return np.where(weak, np.any(asked, axis=0) if asked else False, gone).tolist()
 
 
 #: The low bits of a line value hold its length, the others its hash.
@@ -340,7 +418,9 @@ def main_text(
     """``(key, url, text)`` of every row: lines of the main text, joined by line ends.
 
     A page is cut into lines at block elements. Elements that say themselves that they are
-    no text (menus, footers, forms, adverts, scripts) go. Pages of a host with the same
+    no text (menus, footers, forms, adverts, scripts) go; a class, id or role says so by a
+    whole token, and where it only has such a word among others, or is the id of a heading
+    or a paragraph, one sharing page has to confirm it. Pages of a host with the same
     other lines are one page; each is aligned, by longest common subsequences, with the
     three different ones of its host before it and after it in path order, and lines that
     most of these share are the frame of the site and go, inside of ``article`` and

@@ -135,3 +135,32 @@ def test_near_copies_of_an_article_keep_it(spark):
     ]
     assert all(text.count("told again") == 20 for _, text in texts_of(spark, rows))
     assert not any("Frame" in text for _, text in texts_of(spark, rows))
+
+
+def test_implied_end_tags_end_a_mark():
+    html = (
+        "<head><title>t</title><body><article><p class='notice'>x<p>Real text"
+        "<ul><li class='share'>a<li>b</ul><table><tr><td class='ad'>c<td>d<tr class='ad'><td>e<tr><td>f"
+        "</table><dl><dt class='promo'>g<dd>h</dl><p class='ad'><b>i<div>j</div>"
+        "<ul><li>k<ul><li class='social'>l</ul>m</ul><h2 class='related'>n<h3>o</h3></article>"
+    )
+    found = pages.page_lines(html)
+    assert [x for x, m in found if m == pages.INSIDE] == ["Real text", "b", "d", "f", "h", "j", "k", "m", "o"]
+    assert [x for x, m in found if m == pages.BOILERPLATE] == list("txacegiln")
+
+
+def test_words_inside_other_names_are_no_marks(spark):
+    html = (
+        "<article><h2 id='search-methods'>Methods</h2><h2 id='share-of-exports'>Exports</h2>"
+        "<h2 id='share'>Share</h2><section class='related-work'><p>Others</p></section>"
+        "<p id='comment-on-results'>Results</p><div class='promo-of-the-week'>Buy it</div>"
+        "<div class='related-posts'>gone</div><div id='disqus_thread'>gone</div>"
+        "<p class='text share-buttons'>gone</p><p>Story {}, as long as any other line of it</p></article>"
+    )
+    lines = "Methods\nExports\nShare\nOthers\nResults\nBuy it\nStory {}, as long as any other line of it"
+    assert texts_of(spark, [(1, "http://a.org/1", html.format(1))]) == [(1, lines.format(1))]
+    advert = "<article><div class='promo-of-the-week'>Buy it</div><p>Another story</p></article>"
+    rows = [(1, "http://a.org/1", html.format(1)), (2, "http://a.org/2", advert)]
+    rows += [(i, f"http://a.org/{i}", f"<article><p>More {i}</p></article>") for i in (3, 4)]
+    found = dict(texts_of(spark, rows))
+    assert found[1] == lines.format(1).replace("Buy it\n", "") and found[2] == "Another story"
