@@ -52,7 +52,7 @@ def test_records_of_each_kind(lines, rows):
         (1, 2, 0, "n1:29500")
     ]
     assert rows(records(lines, "sanity"), "host", "python", "datasets", "root") == [
-        ("n1", "3.11.1", "2.19.0", "/x")
+        ("n1", "3.11.1", "6.0.1", "/x")
     ]
     assert rows(records(lines, "step"), "rank", "step_ms") == [(0, 10.0), (1, 20.0)]
     assert rows(records(lines, "runtime"), "train_runtime_sec") == [(25.0,)]
