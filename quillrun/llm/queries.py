@@ -9,6 +9,7 @@ from quillrun.llm import (
     bpe_codec,
     chat,
     hits,
+    line_dedup,
     near_dup,
     packing,
     pages,
@@ -159,3 +160,33 @@ def exact_neighbours(spark, folder):
 def near_neighbours(spark, folder):
     rows = table(spark, folder, "embeddings").select("vec_id", "embedding")
     return permutation_index.nearest_by_permutation(rows, rows.filter("vec_id % 20 = 0"), k=20)
+
+
+@register(
+    "op13_line_dedup",
+    """
+    WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+    lines AS (
+        SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+               unnest(range(len(string_split(text, chr(10))))) AS pos
+        FROM docs),
+    keyed AS (
+        SELECT *, translate(
+            trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+        FROM lines),
+    repeated AS (
+        SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 20
+        GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+    marked AS (
+        SELECT doc_id, pos, line, coalesce(doc_id < keeper, false) AS dropped
+        FROM keyed LEFT JOIN repeated USING (key))
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), ''))
+               AS kept_sha256
+    FROM marked GROUP BY doc_id
+    """,
+)
+def documents_without_repeated_lines(spark, folder):
+    cleaned = line_dedup.without_repeated_lines(table(spark, folder, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
