@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quillrun.llm import (
     bpe_codec,
     chat,
+    hard_negatives,
     hits,
     line_dedup,
     near_dup,
@@ -140,19 +141,41 @@ def page_text(spark, folder):
     )
 
 
-@register("op2_exact_top_k")
-def exact_neighbours(spark, folder):
-    rows = table(spark, folder, "embeddings").select(
-        "vec_id", F.transform("embedding", lambda x: x.cast("double") * 256).alias("scaled")
-    )
-    # Whole numbers; what is not finite stays so and takes no part.
-    whole = rows.select(
-        "vec_id",
-        F.when(
-            hits.usable(F.col("scaled"), zero=True),
-            F.transform("scaled", lambda x: F.floor(x).cast("double")),
-        ).alias("vector"),
+def _whole_vectors(rows):
+    """Components as whole numbers; a vector with one that is not finite is null."""
+    scaled = F.transform("embedding", lambda x: x.cast("double") * 256)
+    floors = F.transform("scaled", lambda x: F.floor(x).cast("double"))
+    return rows.withColumn("scaled", scaled).select(
+        *(c for c in rows.columns if c != "embedding"),
+        F.when(hits.usable(F.col("scaled"), zero=True), floors).alias("vector"),
     )
+
+
+#: Usable vectors as lists of whole numbers, for twins.
+WHOLE_VECTORS = """
+    SELECT vec_id, label, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+"""
+
+
+@register(
+    "op2_exact_top_k",
+    f"""
+    WITH v AS ({WHOLE_VECTORS}),
+    scored AS (
+        SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.v, v.v)::BIGINT AS score
+        FROM v AS q JOIN v ON v.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
+    ranked AS (
+        SELECT *, row_number() OVER (
+            PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+        FROM scored)
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+)
+def exact_neighbours(spark, folder):
+    whole = _whole_vectors(table(spark, folder, "embeddings").select("vec_id", "embedding"))
     return pivot_search.exact_top_k(whole, whole.filter("vec_id % 50 = 0"), k=5)
 
 
@@ -190,3 +213,35 @@ def near_neighbours(spark, folder):
 def documents_without_repeated_lines(spark, folder):
     cleaned = line_dedup.without_repeated_lines(table(spark, folder, "documents"))
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@register(
+    "op12_hard_negatives",
+    f"""
+    WITH v AS (
+        SELECT vec_id, v,
+               CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+        FROM ({WHOLE_VECTORS}) WHERE label IS NOT NULL),
+    scored AS (
+        SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same,
+               list_dot_product(a.v, v.v)::BIGINT AS score
+        FROM v AS a JOIN v ON v.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0),
+    positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+    ranked AS (
+        SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+               row_number() OVER (PARTITION BY p.anchor_id, positive_id
+                                  ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+        FROM positives AS p JOIN scored AS s ON s.anchor_id = p.anchor_id
+        WHERE NOT s.same AND 30 * positive_score <= 100 * s.score
+          AND 100 * s.score <= 90 * positive_score)
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+    FROM ranked WHERE rank <= 10
+    """,
+)
+def hard_negative_rows(spark, folder):
+    rows = table(spark, folder, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = _whole_vectors(rows.withColumn("label", moved))
+    return hard_negatives.hard_negatives(whole, whole.filter("vec_id % 100 = 0"))
