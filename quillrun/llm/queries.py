@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quillrun.llm import (
     bpe_codec,
     chat,
+    collocations,
     hard_negatives,
     hits,
     line_dedup,
@@ -245,3 +246,53 @@ def hard_negative_rows(spark, folder):
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     whole = _whole_vectors(rows.withColumn("label", moved))
     return hard_negatives.hard_negatives(whole, whole.filter("vec_id % 100 = 0"))
+
+
+@register(
+    "op11_collocations",
+    r"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents),
+    split AS (
+        SELECT lang, [x FOR x IN string_split_regex(piece, '[ \t]+') IF x <> ''] AS w FROM pieces),
+    runs AS (
+        SELECT lang, unnest(range(1, len(w) + 1)) AS start, w FROM split),
+    counts AS (
+        SELECT lang, array_to_string(list_slice(w, start, start + k - 1), ' ') AS phrase, k,
+               count(*) AS f
+        FROM runs, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE start + k - 1 <= len(w)
+        GROUP BY ALL),
+    total AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+    candidates AS (SELECT * FROM counts WHERE k > 1 AND f >= 30),
+    words AS (SELECT *, string_split(phrase, ' ') AS w FROM candidates),
+    longer AS (
+        SELECT lang, array_to_string(list_slice(w, b, b + l - 1), ' ') AS phrase, max(f) AS covered
+        FROM words, (SELECT unnest([2, 3]) AS l), (SELECT unnest([1, 2, 3]) AS b)
+        WHERE l < k AND b + l - 1 <= k GROUP BY ALL),
+    kept AS (
+        SELECT words.* FROM words LEFT JOIN longer USING (lang, phrase)
+        WHERE covered IS NULL OR 100 * covered < 80 * f),
+    cuts AS (
+        SELECT kept.*, c, array_to_string(list_slice(w, 1, c), ' ') AS one,
+               array_to_string(list_slice(w, c + 1, k), ' ') AS two
+        FROM kept, (SELECT unnest([1, 2, 3]) AS c) WHERE c < k),
+    scored AS (
+        SELECT cuts.lang, cuts.phrase, cuts.f AS a, x.f AS l, y.f AS r, c,
+               ((2000000::HUGEINT * cuts.f) // (x.f + y.f))::BIGINT AS score
+        FROM cuts JOIN counts AS x ON x.lang = cuts.lang AND x.phrase = one
+                  JOIN counts AS y ON y.lang = cuts.lang AND y.phrase = two),
+    worst AS (
+        SELECT * FROM scored
+        QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+    ranked AS (
+        SELECT *, row_number() OVER (
+            PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM worst)
+    SELECT lang, rank, phrase, a, l, r, n, score
+    FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+    """,
+)
+def collocation_ranking(spark, folder):
+    return collocations.collocations(table(spark, folder, "documents"))
