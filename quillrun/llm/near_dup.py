@@ -27,8 +27,12 @@ HALVES, ROWS = 24, 4
 SEED = 20_240_501
 #: Sketch bits that may differ: six standard deviations above what 0.8 leads to.
 DEVIATIONS = 6.0
-#: Strays of one hub that a task compares with its nodes.
-STRAYS = 256
+#: Parts that the nodes of one half-key, or of one difference, are dealt out to.
+SLICES = 16
+#: Linked nodes of its hub that a stray is compared with at first.
+TRIED = 32
+#: Nodes of one half-key that meet on it alone, without the second halves.
+TOGETHER = 512
 
 
 class _WordHashes(dict):
@@ -179,85 +183,158 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _sliced(node: str):
+    """Part of a key that spreads the nodes of a frequent one over tasks."""
+    return F.pmod(F.xxhash64(node), F.lit(SLICES)).cast("int").alias("slice")
+
+
 def _hub_pairs(members: DataFrame) -> DataFrame:
     """``(x, y)``: each node ``y`` with the hub ``x`` with which it shares most half-keys.
 
     The hub of a half-key is the one of its nodes that meets most others in all: of
-    copies with changes, one with few changes.
+    copies with changes, one with few changes. ``members`` has a row for each node and
+    half-key, with the number of nodes of the half-key.
     """
-    sized = members.groupBy("node").agg(F.sum("members").alias("met"))
-    hubs = (
-        members.join(sized, "node")
-        .groupBy("half")
-        .agg(F.max(F.struct("met", "node")).alias("best"))
-        .select("half", F.col("best.node").alias("hub"))
+    met = (
+        members.groupBy("node")
+        .agg(F.sum("members").alias("met"), F.collect_list("half").alias("halves"))
+        .select("node", _sliced("node"), "met", F.explode("halves").alias("half"))
     )
-    votes = (
-        members.join(hubs, "half")
-        .filter("node <> hub")
-        .groupBy("node", "hub")
-        .agg(F.count("*").alias("votes"))
+    hubs = met.groupBy("half").agg(
+        F.max(F.struct("met", "node")).alias("best"), F.collect_set("slice").alias("slices")
     )
-    best = votes.groupBy("node").agg(
-        F.min(F.struct((-F.col("votes")).alias("order"), "hub")).alias("best")
+    hubs = hubs.select("half", F.col("best.node").alias("hub"), F.explode("slices").alias("slice"))
+    votes = met.join(hubs, ["half", "slice"]).filter("node <> hub")
+    # As text: binary values are not compared by what they hold there.
+    return votes.groupBy(F.col("node").alias("y")).agg(
+        F.unhex(F.mode(F.hex("hub"), True)).alias("x")
     )
-    return best.select(F.col("best.hub").alias("x"), F.col("node").alias("y"))
 
 
 def _measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``(hub, node, n_hub, n, more, less, linked)``: nodes by how they differ from a hub.
+    """``(hub, node, n_hub, n, apart, linked)``: nodes by how they differ from their hub.
 
-    ``more`` are the shingles that the hub has not, ``less`` those that only it has.
+    ``apart`` are the shingles that only one of both has.
     """
     measured = _with_sets(pairs, sets).select(
         F.col("x").alias("hub"),
         F.col("y").alias("node"),
         F.size("sx").alias("n_hub"),
         F.size("sy").alias("n"),
-        F.array_except("sy", "sx").alias("more"),
-        F.array_except("sx", "sy").alias("less"),
+        F.concat(F.array_except("sy", "sx"), F.array_except("sx", "sy")).alias("apart"),
     )
-    both = F.col("n") - F.size("more")
+    total = F.col("n") + F.col("n_hub")
     return measured.withColumn(
-        "linked", both * 100 >= (F.col("n") + F.col("n_hub") - both) * percent
+        "linked", F.size("apart") * (100 + percent) <= total * (100 - percent)
     )
 
 
-def _links_around_hubs(measured: DataFrame, percent: int) -> DataFrame:
-    """Links ``(x, y)`` of nodes that are not linked to their hub, among nodes of that hub.
+def _alike_enough(x: str, y: str, percent: int):
+    """Whether two nodes of one hub are linked, by their differences from it."""
+    same = F.size(F.array_intersect(f"apart_{x}", f"apart_{y}"))
+    between = F.size(f"apart_{x}") + F.size(f"apart_{y}") - 2 * same
+    return between * (100 + percent) <= (F.col(f"n_{x}") + F.col(f"n_{y}")) * (100 - percent)
+
 
-    What two sets have in common follows from how both differ from the hub, so that only
-    the differences are compared, and no pair leaves the join but a link. Nodes of a hub
-    with many strays are dealt out to blocks.
+def _first_links(measured: DataFrame, percent: int) -> DataFrame:
+    """``(x, y)``: strays, nodes not linked to their hub, with a node that is.
+
+    Each stray is compared with about ``TRIED`` nodes, dealt to it by their hashes. What
+    is found that way is connected, and needs no further links.
     """
-    strays = measured.filter("NOT linked")
-    blocks = strays.groupBy("hub").agg(F.ceil(F.count("*") / STRAYS).cast("int").alias("blocks"))
-    side = lambda df, s: df.select(
-        "hub", "block", "n_hub", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "more", "less", "linked"))
+    sizes = (
+        measured.groupBy("hub")
+        .agg(
+            F.ceil(F.sum(F.col("linked").cast("int")) / TRIED).alias("blocks"),
+            F.collect_set(_sliced("node")).alias("slices"),
+        )
+        .filter("blocks > 0")
+        .select("hub", "blocks", F.explode("slices").alias("slice"))
     )
-    left = side(
-        strays.join(blocks, "hub").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")),
-        "x",
+    dealt = measured.withColumn("slice", _sliced("node")).join(sizes, ["hub", "slice"])
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64(F.lit(5), "node"), "blocks"))
+    side = lambda df, s: df.select(
+        "hub", "block", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "apart"))
     )
-    right = side(
-        measured.join(blocks, "hub").withColumn(
-            "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-        ),
-        "y",
-    ).drop("n_hub")
-    least = lambda c: F.least(F.size(f"{c}_x"), F.size(f"{c}_y"))
-    same = lambda c: F.size(F.array_intersect(f"{c}_x", f"{c}_y"))
-    apart = F.col("n_hub") - F.size("less_x") - F.size("less_y")
-    needed = (F.col("n_x") + F.col("n_y")) * percent
+    met = side(dealt.filter("NOT linked"), "x").join(side(dealt.filter("linked"), "y"), ["hub", "block"])
     return (
-        left.join(right, ["hub", "block"])
+        met.filter(_similar_sizes("n_x", "n_y", percent) & _alike_enough("x", "y", percent))
+        .groupBy(F.col("node_x").alias("x"))
+        .agg(F.min("node_y").alias("y"))
+    )
+
+
+def _links_around_hubs(measured: DataFrame, percent: int) -> DataFrame:
+    """Links ``(x, y)`` of strays not connected to their hub yet, among nodes of that hub.
+
+    ``measured`` says with ``joined`` which nodes are connected. Two sets are apart by the shingles that exactly one of them differs from the hub in.
+    With ``c = (100 - percent) / (100 + percent)``, a link allows ``c * (n_x + n_y)`` of
+    them, so that both must differ from the hub in ``(w_x + w_y) / 2`` shingles alike,
+    where ``w = size(apart) - c * n``. A stray has ``w > c * n_hub``, which gives the least
+    number for the others; its own follows from that no node has more alike than it has
+    differences. So linked nodes meet in the rarest ones of their differences, as many as
+    that number leaves over. What a passage that
+    many documents share adds to all of them is frequent and not among these.
+    """
+    c = (100 - percent) / (100 + percent)
+    weight = F.size("apart") - c * F.col("n")
+    slack = weight - c * F.col("n_hub")
+    alike = (c * F.col("n_hub") + weight) / 2
+    alike = F.when(F.col("linked"), alike).otherwise(slack / (1 + c))
+    # Rounding errors only lengthen what is compared.
+    least = F.greatest(F.ceil(alike - 1e-6), F.lit(1))
+    sized = measured.filter(F.size("apart") > 0).select(
+        "hub", "node", "n", "joined", "apart", weight.alias("w"), (F.size("apart") - least + 1).alias("first_")
+    )
+    parts = sized.select("hub", _sliced("node"), "node", F.explode("apart").alias("shingle"))
+    often = (
+        parts.groupBy("hub", "shingle")
+        .agg(F.count("*").alias("often"), F.collect_set("slice").alias("slices"))
+        .filter("often > 1")
+        .select("hub", "shingle", "often", F.explode("slices").alias("slice"))
+    )
+    # Shingles of one node only come first, and meet nobody: their number is enough.
+    ordered = (
+        parts.join(often, ["hub", "shingle", "slice"])
+        .groupBy("node")
+        .agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("common"))
+    )
+    alone = F.size("apart") - F.size("common")
+    posted = (
+        sized.join(ordered, "node")
+        .filter(F.col("first_") > alone)
+        .select(
+            "hub",
+            "node",
+            "n",
+            "joined",
+            "w",
+            F.size("common").alias("size"),
+            F.posexplode(
+                F.slice("common", F.lit(1), (F.col("first_") - alone).cast("int"))
+            ).alias("at", "one"),
+        )
+        .withColumn("shingle", F.col("one.shingle"))
+    )
+    side = lambda df, s: df.select(
+        "hub", "shingle", *(F.col(x).alias(f"{x}_{s}") for x in ("node", "n", "joined", "w", "size", "at"))
+    )
+    rest = F.least(F.col("size_x") - F.col("at_x"), F.col("size_y") - F.col("at_y"))
+    pairs = (
+        side(posted.filter("NOT joined"), "x")
+        .join(side(posted, "y"), ["hub", "shingle"])
         .filter(
-            (F.col("linked_y") | (F.col("node_x") < F.col("node_y")))
-            & ((apart + least("more") + least("less")) * (100 + percent) >= needed)
-            & ((apart + same("more") + same("less")) * (100 + percent) >= needed)
+            (F.col("joined_y") | (F.col("node_x") < F.col("node_y")))
+            & _similar_sizes("n_x", "n_y", percent)
+            & (2 * rest + 1e-6 >= F.col("w_x") + F.col("w_y"))
         )
         .select(F.col("node_x").alias("x"), F.col("node_y").alias("y"))
+        .distinct()
     )
+    of = lambda s: sized.select(
+        F.col("node").alias(s), F.col("apart").alias(f"apart_{s}"), F.col("n").alias(f"n_{s}")
+    )
+    return pairs.join(of("x"), "x").join(of("y"), "y").filter(_alike_enough("x", "y", percent)).select("x", "y")
 
 
 def _other_pairs(
@@ -265,12 +342,17 @@ def _other_pairs(
 ) -> DataFrame:
     """Pairs of one table, of different hubs, not yet known to be connected.
 
-    Of a half-key, only the nodes outside of its most frequent component are joined with
-    all its nodes: a group of copies that is connected already costs nothing more.
+    Of a half-key, only the nodes outside of its most frequent label are compared with
+    all its nodes: a group of copies that is connected already costs nothing more. Rows
+    of a half-key with many nodes meet on the whole table key, that is with each of
+    their second halves.
     """
-    labelled = members.select("half", "node").join(known, "node")
+    labelled = members.join(known, "node").withColumn("slice", _sliced("node"))
     counts = labelled.groupBy("half", "label").agg(
-        F.count("*").alias("n"), F.min("hub").alias("low"), F.max("hub").alias("high")
+        F.count("*").alias("n"),
+        F.min("hub").alias("low"),
+        F.max("hub").alias("high"),
+        F.collect_set("slice").alias("slices"),
     )
     mixed = (
         counts.groupBy("half")
@@ -279,16 +361,25 @@ def _other_pairs(
             F.count("*").alias("labels"),
             F.min("low").alias("low"),
             F.max("high").alias("high"),
+            F.array_distinct(F.flatten(F.collect_set("slices"))).alias("slices"),
         )
         .filter("labels > 1 AND low <> high")
-        .select("half", F.col("most.label").alias("most"))
+        .select("half", F.col("most.label").alias("most"), F.explode("slices").alias("slice"))
     )
-    left = stored(labelled.join(mixed, "half")).join(
-        classes.select("node", "n", "second", "sketch"), "node"
+    many = F.col("members") > TOGETHER
+    left = stored(
+        labelled.join(mixed, ["half", "slice"])
+        .drop("slice")
+        .join(classes.select("node", "n", "second", "sketch"), "node")
     )
+    left = left.withColumn(
+        "table", F.explode(F.when(many, F.col("second")).otherwise(F.array(F.lit(0))))
+    ).withColumn("second", F.when(~many, F.col("second")))
     columns = ("node", "label", "hub", "n", "second", "sketch")
-    mine = left.filter("label <> most").select("half", *(F.col(c).alias(f"{c}_x") for c in columns))
-    all_ = left.select("half", "most", *(F.col(c).alias(f"{c}_y") for c in columns))
+    mine = left.filter("label <> most").select(
+        "half", "table", *(F.col(c).alias(f"{c}_x") for c in columns)
+    )
+    all_ = left.select("half", "table", "most", *(F.col(c).alias(f"{c}_y") for c in columns))
     bits = 2 * HALVES * ROWS
     agree = (1 + percent / 100) / 2
     differ = int(bits * (1 - agree) + DEVIATIONS * (bits * agree * (1 - agree)) ** 0.5)
@@ -296,14 +387,14 @@ def _other_pairs(
         F.bit_count(F.col("sketch_x")[k].bitwiseXOR(F.col("sketch_y")[k])) for k in range(bits // 64)
     )
     return (
-        mine.join(all_, "half")
+        mine.join(all_, ["half", "table"])
         .filter(
             (F.col("label_x") != F.col("label_y"))
             & (F.col("hub_x") != F.col("hub_y"))
             & ((F.col("label_y") == F.col("most")) | (F.col("node_x") < F.col("node_y")))
             & _similar_sizes("n_x", "n_y", percent)
             & (distance <= differ)
-            & F.arrays_overlap("second_x", "second_y")
+            & (F.col("second_x").isNull() | F.arrays_overlap("second_x", "second_y"))
         )
         .select(F.least("node_x", "node_y").alias("x"), F.greatest("node_x", "node_y").alias("y"))
         .distinct()
@@ -323,10 +414,11 @@ def near_duplicates(
     linking: its component is null and it is kept. Repeated keys are rows of their own,
     each with the component of its own set. An empty table gives no rows.
 
-    First every node is compared with one hub, the node it shares most with; what is not
-    linked to its hub is compared with all other nodes of that hub; then, of each
-    half-key, nodes of different hubs that are not connected yet are compared. No pair
-    that shares a table is left out, and each link is confirmed on the full sets.
+    First every node is compared with one hub, the node it shares most with, and what is
+    not linked to its hub with some nodes that are; what is not connected then is compared
+    with all nodes of its hub with which it shares a rare difference from it; then, of each table, nodes of different hubs that have no hub in
+    common are compared. No pair that shares a table and could be linked is left out,
+    unless both are linked to one hub, and each link is confirmed on the full sets.
     """
     docs = texts(docs, key, text)
     rows = stored(signatures(docs, key, text, words))
@@ -349,28 +441,30 @@ def near_duplicates(
         .agg(F.first("shingles").alias("shingles"))
     )
     measured = stored(_measured(_hub_pairs(members), sets, percent))
-    to_hubs = measured.filter("linked").select(F.col("hub").alias("x"), F.col("node").alias("y"))
-    labels = components(to_hubs.union(_links_around_hubs(measured, percent)), "x", "y")
+    first = stored(_first_links(measured, percent))
+    tried = first.select(F.col("x").alias("node"), F.lit(True).alias("found"))
+    measured = stored(
+        measured.join(tried, "node", "left")
+        .withColumn("joined", F.col("linked") | F.coalesce("found", F.lit(False)))
+        .drop("found")
+    )
     known = (
         members.select("node")
         .distinct()
-        .join(labels, "node", "left")
-        .join(measured.select("node", "hub"), "node", "left")
-        .select("node", F.coalesce("label", "node").alias("label"), F.coalesce("hub", "node").alias("hub"))
-    )
-    more = _confirmed(_other_pairs(members, classes, known, percent), sets, percent)
-    named = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}"))
-    between = (
-        more.join(named("x"), "x", "left")
-        .join(named("y"), "y", "left")
-        .select(F.coalesce("lx", "x").alias("x"), F.coalesce("ly", "y").alias("y"))
-    )
-    above = components(between, "x", "y").select(
-        F.col("node").alias("label"), F.col("label").alias("top")
+        .join(measured.select("node", "hub", "joined"), "node", "left")
+        .select(
+            "node",
+            F.when(F.col("joined"), F.col("hub")).otherwise(F.col("node")).alias("label"),
+            F.coalesce("hub", "node").alias("hub"),
+        )
     )
+    to_hubs = measured.filter("linked").select(F.col("hub").alias("x"), F.col("node").alias("y"))
+    around = _links_around_hubs(measured, percent)
+    beyond = _confirmed(_other_pairs(members, classes, known, percent), sets, percent)
+    links = to_hubs.unionByName(first).unionByName(around).unionByName(beyond)
+    labels = components(links, "x", "y")
     own = classes.select("node", "least_").join(labels, "node", "left")
-    own = own.withColumn("label", F.coalesce("label", "node")).join(above, "label", "left")
-    own = own.select("node", "least_", F.coalesce("top", "label").alias("label"))
+    own = own.select("node", "least_", F.coalesce("label", "node").alias("label"))
     least = own.groupBy("label").agg(F.min("least_").alias("component_id"))
     found = own.join(least, "label").select("node", "component_id")
     alone = F.col("node").isNull() | F.col(key).isNull()
