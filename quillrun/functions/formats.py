@@ -26,6 +26,9 @@ RANK_STEP = r"\[rank\s+(\d+)\s+\|\s+step\s+(\d+)\]"
 PAIR = r"([A-Za-z_][\w.]*)=(\S+)"
 PHASE = r"\[([^\]]+)\]\s+([\d.]+)\s+sec"
 HOST_STEP = r"\[([^\]]+)\]\s+rank=(\d+)\s+step\s+(\d+)\s+([\d.]+)s"
+PIPELINE_STEP = r"\bep=(\d+)\s+step=(\d+)\s+loss=([\d.]+|nan|inf)\s+\(\+([\d.]+)s\)"
+# A dictionary as the trainer prints it: quoted keys, numbers, texts, no nesting.
+DICTIONARY = r"\{'[^'{}]+':\s[^{}]*\}"
 
 PHASES = ["Dataset load", "Tokenization", "Trainer setup", "Training", "Model save"]
 TRAINING_PHASE = "Training"

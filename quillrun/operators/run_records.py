@@ -56,6 +56,10 @@ KINDS: dict[str, tuple[str, dict[str, str]]] = {
         formats.HOST_STEP,
         {"host": "string", "rank": "int", "step": "bigint", "seconds": "double"},
     ),
+    "pipeline_step": (
+        formats.PIPELINE_STEP,
+        {"epoch": "bigint", "step": "bigint", "loss": "double", "seconds": "double"},
+    ),
 }
 
 
@@ -139,6 +143,52 @@ def training_curve(lines: DataFrame) -> DataFrame:
     )
 
 
+def dictionary_records(lines: DataFrame) -> DataFrame:
+    """Dictionaries that a trainer prints, ``(..., hit, found)`` with a VARIANT each.
+
+    Any keys will do, and each value keeps the type it was written with; ``nan`` and
+    ``inf`` are texts there. What is no dictionary after all gives no row.
+    """
+    keep = [c for c in lines.columns if c != "line"]
+    matches = F.regexp_extract_all("line", F.lit(formats.DICTIONARY), F.lit(0))
+    rules = {
+        r"\bTrue\b(?=[,}])": "true",
+        r"\bFalse\b(?=[,}])": "false",
+        r"\bNone\b(?=[,}])": "null",
+        r"(?<=: )(-?(?:nan|inf))(?=[,}])": '"$1"',
+    }
+    json = F.translate("_match", "'", '"')
+    for pattern, put in rules.items():
+        json = F.regexp_replace(json, pattern, put)
+    return (
+        lines.filter(F.col("line").contains("{'"))
+        .select(*keep, F.posexplode(matches).alias("hit", "_match"))
+        .select(*keep, "hit", F.try_parse_json(json).alias("found"))
+        .filter("found IS NOT NULL")
+    )
+
+
+def dictionary_values(found: DataFrame) -> DataFrame:
+    """``(..., hit, key, value, number)``: one row per entry of a dictionary.
+
+    ``value`` is the entry as text, ``number`` as a number where it is one.
+    """
+    keep = [c for c in found.columns if c != "found"]
+    entries = F.col("found").cast("map<string,variant>")
+    number = F.try_variant_get("_value", "$", "double")
+    return found.select(*keep, F.explode(entries).alias("key", "_value")).select(
+        *keep,
+        "key",
+        F.try_variant_get("_value", "$", "string").alias("value"),
+        F.when(F.schema_of_variant("_value") != "BOOLEAN", number).alias("number"),
+    )
+
+
+def dictionary_schema(found: DataFrame) -> str:
+    """The keys of all dictionaries with the types that hold all their values."""
+    return found.agg(F.schema_of_variant_agg("found")).first()[0]
+
+
 def latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The last row of each key; a partial aggregate, no sort."""
     rest = [c for c in df.columns if c not in keys]

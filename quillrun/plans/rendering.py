@@ -136,6 +136,35 @@ def host_step_lines(events: DataFrame) -> DataFrame:
     return _base(events).select("pos", line.alias("line"))
 
 
+def dictionary_lines(events: DataFrame) -> DataFrame:
+    """``(job, pos, line)``: what a trainer prints, a dictionary behind a progress bar."""
+    e, v = F.col("e"), F.col("v")
+    step = F.format_string(
+        "{'loss': %.4f, 'grad_norm': %s, 'learning_rate': 0.000321, 'epoch': %.3f}",
+        v / 100,
+        F.when(e % 10 == 7, F.lit("nan")).otherwise(F.format_string("%.2f", v)),
+        e % 1000 / 1000,
+    )
+    last = F.format_string(
+        "{'train_runtime': %.2f, 'train_samples_per_second': %d, 'host': 'n%d', 'done': %s}",
+        v,
+        e,
+        F.col("u"),
+        F.when(e % 2 == 0, "True").otherwise("None"),
+    )
+    line = F.concat(F.lit(" 31%|xxx       | 5/16 "), F.when(F.col("event_type") == "click", step).otherwise(last))
+    return _base(events).select("job", "pos", line.alias("line"))
+
+
+def pipeline_step_lines(events: DataFrame) -> DataFrame:
+    """``(job, pos, line)``: one line of a pipeline's training loop per event."""
+    line = F.format_string(
+        "rank 3: ep=%d step=%d loss=%.4f (+%.1fs)", F.col("e") % 3, F.col("e"), F.col("v") / 100,
+        F.col("r").cast("double"),
+    )
+    return _base(events).select("job", "pos", line.alias("line"))
+
+
 def preflight_lines(events: DataFrame) -> DataFrame:
     """``(job, file, pos, line)``: what a host could see, by event; one part may lack."""
     seen = F.when(F.col("v") > 20, "ok").otherwise("missing")

@@ -13,7 +13,7 @@ from quillrun.operators import run_records as rec
 from quillrun.operators import run_reports as rep
 from quillrun.plans.catalog import registry
 from quillrun.plans import rendering
-from quillrun.plans.run_report import run_report
+from quillrun.plans.run_report import run_report, run_report_details
 from quillrun.sources.tables import table
 
 QUERIES, ORACLES, register = registry()
@@ -186,6 +186,43 @@ def pair_lines(spark, folder):
     )
 
 
+SQL_DICTIONARIES = """
+WITH d AS (SELECT user_id::VARCHAR AS job, event_id AS e, value AS v, event_type = 'click' AS step
+  FROM events)
+SELECT job, e AS pos, 'loss' AS key, round(v / 100, 4) AS number, NULL AS text FROM d WHERE step
+UNION ALL SELECT job, e, 'grad_norm', CASE WHEN e % 10 <> 7 THEN v END,
+  CASE WHEN e % 10 = 7 THEN 'nan' END FROM d WHERE step
+UNION ALL SELECT job, e, 'learning_rate', 0.000321, NULL FROM d WHERE step
+UNION ALL SELECT job, e, 'epoch', e % 1000 / 1000.0, NULL FROM d WHERE step
+UNION ALL SELECT job, e, 'train_runtime', v, NULL FROM d WHERE NOT step
+UNION ALL SELECT job, e, 'train_samples_per_second', e, NULL FROM d WHERE NOT step
+UNION ALL SELECT job, e, 'host', NULL, concat('n', job) FROM d WHERE NOT step
+UNION ALL SELECT job, e, 'done', NULL, CASE WHEN e % 2 = 0 THEN 'true' END FROM d WHERE NOT step
+"""
+
+
+@register(
+    "q_34b_trainer_dictionaries",
+    f"SELECT job, pos, key, round(number::DOUBLE, 6) AS number, text FROM ({SQL_DICTIONARIES})",
+)
+def trainer_dictionaries(spark, folder):
+    found = rec.dictionary_records(rendering.dictionary_lines(_many(spark, folder)))
+    number = F.when(~F.isnan("number"), F.round("number", 6))
+    values = rec.dictionary_values(found).withColumn("number", number)
+    text = F.when(F.col("number").isNull(), F.col("value"))
+    return values.select("job", "pos", "key", "number", text.alias("text"))
+
+
+@register(
+    "q_68b_pipeline_steps",
+    "SELECT user_id::VARCHAR AS job, event_id AS pos, event_id % 3 AS epoch, event_id AS step, "
+    "round(value / 100, 4) AS loss, (event_id % 8)::DOUBLE AS seconds FROM events",
+)
+def pipeline_steps(spark, folder):
+    lines = rendering.pipeline_step_lines(_many(spark, folder))
+    return rec.records(lines, "pipeline_step").drop("hit")
+
+
 @register("q_58_rank_banner", _sql("SELECT job, file, pos, rank, world_size FROM ranks"))
 def rank_banner(spark, folder):
     found = _records(spark, folder, "rank").select("job", "file", "pos", "rank", "world_size")
@@ -524,6 +561,43 @@ def whole_report(spark, folder):
     return report.withColumn("value", F.round("value", 6))
 
 
+SQL_DETAILS = """
+SELECT job, 'RDZV' AS section, 'configs' AS key,
+  CASE WHEN count(DISTINCT (nnodes, nproc_per_node, endpoint)) > 1 THEN 'inconsistent'
+    ELSE 'consistent' END AS text FROM rendezvous GROUP BY job
+UNION ALL SELECT job, 'RANKS', 'world sizes',
+  CASE WHEN count(DISTINCT world_size) > 1 THEN 'inconsistent' ELSE 'consistent' END
+  FROM ranks GROUP BY job
+UNION ALL SELECT job, 'RANKS', 'missing',
+  concat(array_to_string(list_sort(list(rank))[:15], ', '), CASE WHEN count(*) > 15 THEN ' ...' ELSE '' END)
+  FROM missing GROUP BY job
+UNION ALL SELECT job, 'SANITY', host, concat('python=', python, ' torch=', torch, ' tfm=', tfm,
+  ' numpy=', numpy, ' datasets=', datasets, ' root=', root) FROM latest_sanity
+UNION ALL SELECT job, 'PREFLIGHT', host, concat('proj=', proj, ' pkgs=', pkgs, ' -> ',
+  CASE WHEN proj = 'ok' AND pkgs = 'ok' THEN 'OK' ELSE 'STAGED/MISSING' END) FROM preflight_status
+UNION ALL SELECT job, 'FAILURES', place::VARCHAR, concat(file, ': ', signature) FROM placed_failures
+  WHERE place <= 8
+UNION ALL SELECT job, 'FAILURES', 'more', concat('(+', count(*) - 8, ' more)') FROM placed_failures
+  GROUP BY job HAVING count(*) > 8
+"""
+SQL_PLACED = """,
+placed_failures AS (
+  SELECT job, file, signature, row_number() OVER (PARTITION BY job ORDER BY file, pos, hit) AS place
+  FROM failures
+)
+"""
+
+
+@register(
+    "q_82b_run_report_details", f"WITH {SQL_EVENTS.rstrip()}{SQL_PLACED}{SQL_DETAILS}"
+)
+def report_details(spark, folder):
+    events = _many(spark, folder)
+    return run_report_details(
+        rendering.run_lines(events).drop("ts"), rendering.preflight_lines(events)
+    )
+
+
 @register(
     "q_83_time_summary",
     _sql(

@@ -119,3 +119,55 @@ def run_report(
     for part in parts[1:]:
         report = report.unionByName(part)
     return report
+
+
+def _texts(df: DataFrame, section: str, key: Column, text: Column) -> DataFrame:
+    return df.select("job", F.lit(section).alias("section"), key.alias("key"), text.alias("text"))
+
+
+def run_report_details(
+    lines: DataFrame, preflight: DataFrame | None = None, folder: str | None = None
+) -> DataFrame:
+    """``(job, section, key, text)``: what the report says in words, for all jobs.
+
+    Whether rendezvous records and world sizes agree, which ranks are missing, the versions
+    and the preflight state of every host, and the first failures with how many follow.
+    """
+    stored = store_records(lines, folder)
+    by = ["job"]
+    ranks, failures = rec.of_kind(stored, "rank"), rec.of_kind(stored, "failure")
+    said = lambda bad: F.when(bad, "inconsistent").otherwise("consistent")
+    sizes = rep.world_sizes(ranks, by).groupBy(*by).agg(F.count(F.lit(1)).alias("n_sizes"))
+    samples = rep.failure_samples(failures, by)
+    versions = F.concat_ws(
+        " ", *[F.concat(F.lit(f"{c}="), F.col(c)) for c in [*rep.COMPONENTS, "root"]]
+    )
+    more = samples.filter("place = 1 AND n_more > 0")
+    parts = [
+        _texts(
+            rep.rendezvous_status(rec.of_kind(stored, "rendezvous"), by),
+            "RDZV",
+            F.lit("configs"),
+            said(F.col("inconsistent")),
+        ),
+        _texts(sizes, "RANKS", F.lit("world sizes"), said(F.col("n_sizes") > 1)),
+        _texts(rep.missing_summary(ranks, by), "RANKS", F.lit("missing"), F.col("shown")),
+        _texts(
+            rep.latest_sanity(rec.of_kind(stored, "sanity"), by), "SANITY", F.col("host"), versions
+        ),
+        _texts(
+            samples,
+            "FAILURES",
+            F.col("place").cast("string"),
+            F.concat_ws(": ", "file", "signature"),
+        ),
+        _texts(more, "FAILURES", F.lit("more"), F.format_string("(+%d more)", "n_more")),
+    ]
+    if preflight is not None:
+        status = rep.preflight_status(rec.preflight_records(preflight), by)
+        seen = F.format_string("proj=%s pkgs=%s -> %s", "proj", "pkgs", "status")
+        parts.append(_texts(status, "PREFLIGHT", F.col("host"), seen))
+    report = parts[0]
+    for part in parts[1:]:
+        report = report.unionByName(part)
+    return report

@@ -7,6 +7,7 @@ stay splittable.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -113,17 +114,42 @@ def read_corpus(
     return encoding.encode(texts, vocab, key, "text", max_len)
 
 
-def read_logs(spark: SparkSession, folder: str, job: str) -> DataFrame:
-    """Log lines of one job, ``(job, file, pos, line)``; no file is an error."""
-    pattern = f"{folder.rstrip('/')}/{formats.LOG_FILES.format(job=job)}"
+def _jobs(job: str | Sequence[str]) -> list[str]:
+    return [job] if isinstance(job, str) else list(dict.fromkeys(job))
+
+
+def _glob_of(jobs: list[str]) -> str:
+    """One pattern for all jobs; characters that mean something there stand for themselves."""
+    plain = [re.sub(r"([\\*?\[\]{},])", r"\\\1", job) for job in jobs]
+    return plain[0] if len(plain) == 1 else "{" + ",".join(plain) + "}"
+
+
+def _job_of(name: Column, pattern: str, jobs: list[str]) -> Column:
+    """The jobs whose file this is, one row each."""
+    before, after = pattern.split("{job}")
+    marks = [before.lstrip("*") + job + after.split("*")[0] for job in jobs]
+    whole = "*" not in pattern
+    is_of = lambda mark: (name == mark) if whole else F.contains(name, F.lit(mark))
+    named = [F.when(is_of(mark), F.lit(job)) for mark, job in zip(marks, jobs, strict=True)]
+    return F.explode(F.array_compact(F.array(*named)))
+
+
+def read_logs(spark: SparkSession, folder: str, job: str | Sequence[str]) -> DataFrame:
+    """Log lines of one job or of many, ``(job, file, pos, line)``; no file is an error.
+
+    All jobs are read in one scan; a job of many without files has no lines.
+    """
+    jobs = _jobs(job)
+    pattern = f"{folder.rstrip('/')}/{formats.LOG_FILES.format(job=_glob_of(jobs))}"
     try:
         lines = read_lines(spark, pattern)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
         raise FileNotFoundError(f"no log files match {pattern}") from error
-    name = F.substring_index("file", "/", -1)
-    return lines.select(F.lit(job).alias("job"), name.alias("file"), "pos", "line")
+    named = lines.withColumn("file", F.substring_index("file", "/", -1))
+    of = F.lit(jobs[0]) if len(jobs) == 1 else _job_of(F.col("file"), formats.LOG_FILES, jobs)
+    return named.select(of.alias("job"), "file", "pos", "line")
 
 
 def _read_named(spark: SparkSession, folders: Sequence[str], names: str):
@@ -156,11 +182,12 @@ def _folder_names(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
     return paths.withColumn("run", _run_name(F.col("path")))
 
 
-def read_preflight(spark: SparkSession, folder: str, job: str) -> DataFrame:
-    """Preflight lines of a job, empty when there is no such file."""
-    reader, paths = _read_named(spark, [folder], formats.PREFLIGHT_FILE.format(job=job))
+def read_preflight(spark: SparkSession, folder: str, job: str | Sequence[str]) -> DataFrame:
+    """Preflight lines of one job or of many, empty when there is no such file."""
+    jobs = _jobs(job)
+    names = formats.PREFLIGHT_FILE.format(job=_glob_of(jobs))
+    reader, paths = _read_named(spark, [folder], names)
     lines = reader.text(paths).select(
-        F.lit(job).alias("job"),
         F.col("_metadata.file_name").alias("file"),
         F.struct(
             F.col("_metadata.file_block_start").alias("block"),
@@ -168,7 +195,8 @@ def read_preflight(spark: SparkSession, folder: str, job: str) -> DataFrame:
         ).alias("pos"),
         F.make_valid_utf8("value").alias("line"),
     )
-    return lines
+    of = F.lit(jobs[0]) if len(jobs) == 1 else _job_of(F.col("file"), formats.PREFLIGHT_FILE, jobs)
+    return lines.select(of.alias("job"), "file", "pos", "line")
 
 
 def read_run_meta(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
