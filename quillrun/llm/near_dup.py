@@ -189,10 +189,11 @@ def _sliced(node: str):
 
 
 def _hub_pairs(members: DataFrame) -> DataFrame:
-    """``(x, y)``: each node ``y`` with the hub ``x`` with which it shares most half-keys.
+    """``(x, y)``: each node ``y`` with the hub ``x``, the best of the hubs of its half-keys.
 
     The hub of a half-key is the one of its nodes that meets most others in all: of
-    copies with changes, one with few changes. ``members`` has a row for each node and
+    copies with changes, one with few changes. So do nodes choose among hubs, and nodes
+    that could be linked mostly have one hub. ``members`` has a row for each node and
     half-key, with the number of nodes of the half-key.
     """
     met = (
@@ -203,12 +204,10 @@ def _hub_pairs(members: DataFrame) -> DataFrame:
     hubs = met.groupBy("half").agg(
         F.max(F.struct("met", "node")).alias("best"), F.collect_set("slice").alias("slices")
     )
-    hubs = hubs.select("half", F.col("best.node").alias("hub"), F.explode("slices").alias("slice"))
-    votes = met.join(hubs, ["half", "slice"]).filter("node <> hub")
-    # As text: binary values are not compared by what they hold there.
-    return votes.groupBy(F.col("node").alias("y")).agg(
-        F.unhex(F.mode(F.hex("hub"), True)).alias("x")
-    )
+    hubs = hubs.select("half", "best", F.explode("slices").alias("slice"))
+    votes = met.join(hubs, ["half", "slice"]).filter("node <> best.node")
+    chosen = votes.groupBy("node").agg(F.max("best").alias("best"))
+    return chosen.select(F.col("best.node").alias("x"), F.col("node").alias("y"))
 
 
 def _measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -337,6 +336,25 @@ def _links_around_hubs(measured: DataFrame, percent: int) -> DataFrame:
     return pairs.join(of("x"), "x").join(of("y"), "y").filter(_alike_enough("x", "y", percent)).select("x", "y")
 
 
+def _labelled(members: DataFrame, measured: DataFrame) -> DataFrame:
+    """``(node, label, hub)``: nodes of one label are connected by way of their hubs.
+
+    A hub may be connected to a hub of its own, and so on; the label is four such steps
+    away at most. Each step leads to a node that meets more others, so no path is closed.
+    """
+    towards = measured.filter("joined").select("node", F.col("hub").alias("to"))
+    for _ in range(2):
+        next_ = towards.select(F.col("node").alias("to"), F.col("to").alias("next"))
+        towards = towards.join(next_, "to", "left").select("node", F.coalesce("next", "to").alias("to"))
+    return (
+        members.select("node")
+        .distinct()
+        .join(measured.select("node", "hub"), "node", "left")
+        .join(towards, "node", "left")
+        .select("node", F.coalesce("to", "node").alias("label"), F.coalesce("hub", "node").alias("hub"))
+    )
+
+
 def _other_pairs(
     members: DataFrame, classes: DataFrame, known: DataFrame, percent: int
 ) -> DataFrame:
@@ -448,16 +466,7 @@ def near_duplicates(
         .withColumn("joined", F.col("linked") | F.coalesce("found", F.lit(False)))
         .drop("found")
     )
-    known = (
-        members.select("node")
-        .distinct()
-        .join(measured.select("node", "hub", "joined"), "node", "left")
-        .select(
-            "node",
-            F.when(F.col("joined"), F.col("hub")).otherwise(F.col("node")).alias("label"),
-            F.coalesce("hub", "node").alias("hub"),
-        )
-    )
+    known = _labelled(members, measured)
     to_hubs = measured.filter("linked").select(F.col("hub").alias("x"), F.col("node").alias("y"))
     around = _links_around_hubs(measured, percent)
     beyond = _confirmed(_other_pairs(members, classes, known, percent), sets, percent)
