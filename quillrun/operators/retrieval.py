@@ -1,11 +1,11 @@
 """Lexical retrieval for many queries at once.
 
 The corpus is spread by document before its text is taken apart. Term counts,
-weights, norms and the scores of a document are then built inside one partition.
-When the query batch is proven small it is broadcast to those partitions, each of
-them keeps its own best k per query, and only those rows are shuffled. A larger
-batch meets the corpus in a shuffled join on the term, in which every term is split
-over slices of the corpus, so that a frequent term is never one task's work.
+weights and norms of a document are then built inside one partition. The best scores are
+found over postings with bounds (`top_scores`): pairs that share only frequent terms are
+not scored. A query batch that is proven small is broadcast to the postings; a larger one
+meets them in a shuffled join on the term, in which every term is split over slices of the
+corpus, so that a frequent term is never one task's work.
 """
 
 from __future__ import annotations
@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 from quillrun.functions import text as tx
 from quillrun.functions.arrays import run_lengths
+from quillrun.operators.top_scores import PostingIndex
+from quillrun.session import shared_folder
+from quillrun.sources.tables import materialize
 
 MAX_FEATURES = 20_000
 # A query batch within both bounds is broadcast: at most two terms start at a
@@ -65,21 +68,29 @@ def fit_tfidf(
     return kept.select("term", "n", "df", idf.alias("idf"))
 
 
-def tfidf_weights(
+def _weights_and_norms(
     texts: DataFrame, fitted: DataFrame, key: str, text: str, ngrams=(1, 2)
 ) -> DataFrame:
-    """``(key, term, weight)``: tf times idf, each text scaled to length 1.
-
-    Terms outside the fitted space drop out. That space carries its row limit, from
-    which Catalyst decides about a broadcast.
-    """
     known = (
         term_counts(texts, key, text, ngrams)
         .join(fitted.select("term", "idf"), "term")
         .select(key, "term", (F.col("tf") * F.col("idf")).alias("_w"))
     )
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
-    return known.select(key, "term", (F.col("_w") / norm).alias("weight"))
+    return known.withColumn("norm", norm).select(
+        key, "term", "norm", (F.col("_w") / F.col("norm")).alias("weight")
+    )
+
+
+def tfidf_weights(
+    texts: DataFrame, fitted: DataFrame, key: str, text: str, ngrams=(1, 2)
+) -> DataFrame:
+    """``(key, term, weight)``: tf times idf, each text scaled to length 1.
+
+    Terms outside the fitted space drop out. That space carries its row limit, from
+    which Catalyst decides about a broadcast.
+    """
+    return _weights_and_norms(texts, fitted, key, text, ngrams).drop("norm")
 
 
 def _meet_on_term(doc_terms: DataFrame, query_terms: DataFrame, small: bool) -> DataFrame:
@@ -108,29 +119,18 @@ def cosine_scores(doc_weights: DataFrame, query_weights: DataFrame, small: bool)
     )
 
 
-def _distinct_tokens(texts: DataFrame, key: str, text: str, name: str, size: str) -> DataFrame:
+def overlap_weights(texts: DataFrame, key: str, text: str) -> DataFrame:
+    """``(key, size, term, weight)``: distinct tokens, each set scaled to length 1.
+
+    The products of two such weights add up to the shared tokens over the root of the
+    product of both set sizes.
+    """
     tokens = F.array_distinct(tx.space_tokens(F.col(text)))
     return (
-        texts.select(F.col(key).alias(name), tokens.alias("_tokens"))
-        .select(name, F.size("_tokens").alias(size), F.explode("_tokens").alias("term"))
-    )
-
-
-def overlap_scores(
-    corpus: DataFrame, queries: DataFrame, key: str, query_key: str, text: str, small: bool
-) -> DataFrame:
-    """``(query_id, doc_id, score)`` of all pairs that share a token."""
-    docs = _distinct_tokens(
-        corpus.select(key, text).repartition(key), key, text, "doc_id", "_nd"
-    )
-    asked = _distinct_tokens(queries, query_key, text, "query_id", "_nq")
-    shared = (
-        _meet_on_term(docs, asked, small)
-        .groupBy("query_id", "doc_id", "_nq", "_nd")
-        .agg(F.count(F.lit(1)).alias("_both"))
+        texts.select(key, tokens.alias("_tokens"))
+        .select(key, F.size("_tokens").alias("size"), F.explode("_tokens").alias("term"))
+        .withColumn("weight", 1 / F.sqrt(F.col("size").cast("double")))
     )
-    score = F.col("_both") / F.sqrt(F.col("_nq").cast("double") * F.col("_nd"))
-    return shared.select("query_id", "doc_id", score.alias("score"))
 
 
 def top_k(scores: DataFrame, queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
@@ -188,16 +188,19 @@ def retrieve(
     if small is None:
         small = batch_is_small(queries, text)
     if kind == "tfidf":
-        fitted = fit_tfidf(corpus, key, text, max_features)
-        docs = tfidf_weights(corpus, fitted, key, text).withColumnRenamed(key, "doc_id")
-        asked = tfidf_weights(queries, fitted, query_key, text).withColumnRenamed(
-            query_key, "query_id"
+        fitted = materialize(
+            fit_tfidf(corpus, key, text, max_features), shared_folder(corpus.sparkSession, "fitted")
         )
-        scores = cosine_scores(docs, asked, small)
+        docs = _weights_and_norms(corpus, fitted, key, text).withColumnRenamed("norm", "size")
+        asked = tfidf_weights(queries, fitted, query_key, text)
     elif kind == "overlap":
-        scores = overlap_scores(corpus, queries, key, query_key, text, small)
+        docs = overlap_weights(corpus, key, text)
+        asked = overlap_weights(queries, query_key, text)
     else:
         raise ValueError("kind must be 'tfidf' or 'overlap'")
+    scores = PostingIndex(
+        docs.withColumnRenamed(key, "doc_id"), asked.withColumnRenamed(query_key, "query_id"), small
+    ).best(k)
     return top_k(
         scores,
         queries.select(F.col(query_key).alias("query_id")),
