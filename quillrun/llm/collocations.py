@@ -126,7 +126,7 @@ class _Chunk:
 def _parted(edges: np.ndarray) -> np.ndarray:
     """Edges as rows of codes."""
     return np.stack(
-        [(edges >> np.uint64(16 * (LONGEST - 1 - k))) & np.uint64(CODES - 1) for k in range(LONGEST)],
+        [(edges >> np.uint64(16 * (LONGEST - 1 - k))) & np.uint64(0xFFFF) for k in range(LONGEST)],
         axis=1,
     ).astype(np.uint16)
 
