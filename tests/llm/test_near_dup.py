@@ -87,3 +87,51 @@ def test_components_of_paths_and_stars(spark):
     found = components(spark.createDataFrame(links, "a long, b long"), "a", "b")
     expected = {(i, 100) for i in range(100, 161)} | {(i, 7) for i in range(7, 30)}
     assert {tuple(r) for r in found.collect()} == expected
+
+
+def test_many_documents_around_a_passage_and_a_template(spark, docs_of, monkeypatch):
+    """Large groups below and above the threshold: equal to brute force, records in proportion."""
+    draw = random.Random(11)
+    word = lambda: f"w{draw.randint(0, 10**6)}"
+    passage = " ".join(f"p{i}" for i in range(75))
+    template = [f"t{i}" for i in range(90)]
+
+    def edited(changes):
+        words = list(template)
+        for at in draw.sample(range(len(words)), changes):
+            words[at] = draw.choice(["x", "y", word()])
+        return " ".join(words)
+
+    rows = [(i, passage + " " + " ".join(word() for _ in range(draw.randint(20, 110)))) for i in range(700)]
+    rows += [(1_000 + i, edited(draw.randint(0, 9))) for i in range(600)]
+    rows += [(3_000 + i, " ".join(template[: draw.randint(60, 90)])) for i in range(150)]
+    counted = []
+    original = near_dup._links_around_hubs
+
+    def noted(measured, percent):
+        links = original(measured, percent)
+        counted.append(links.count())
+        return links
+
+    monkeypatch.setattr(near_dup, "_links_around_hubs", noted)
+    found = near_dup.near_duplicates(docs_of(rows), words=4, percent=80).collect()
+    sets = {}
+    for key, text in rows:
+        words = text.split()
+        sets[key] = {tuple(words[k : k + 4]) for k in range(len(words) - 3)}
+    parent = {k: k for k in sets}
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    keys = sorted(sets)
+    for n, x in enumerate(keys):
+        for y in keys[:n]:
+            both = len(sets[x] & sets[y])
+            if 100 * both >= 80 * (len(sets[x]) + len(sets[y]) - both):
+                a, b = sorted((root(x), root(y)))
+                parent[b] = a
+    assert {r.doc_id: r.component_id for r in found} == {k: root(k) for k in keys}
+    assert counted[0] < 20 * len(rows)
