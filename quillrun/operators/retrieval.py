@@ -194,7 +194,7 @@ def retrieve(
         docs = _weights_and_norms(corpus, fitted, key, text).withColumnRenamed("norm", "size")
         asked = tfidf_weights(queries, fitted, query_key, text)
     elif kind == "overlap":
-        docs = overlap_weights(corpus, key, text)
+        docs = overlap_weights(corpus.select(key, text).repartition(key), key, text)
         asked = overlap_weights(queries, query_key, text)
     else:
         raise ValueError("kind must be 'tfidf' or 'overlap'")

@@ -19,8 +19,7 @@ from quillrun.sources.tables import materialize
 
 # Blocks hold documents whose sizes differ by less than a factor of 2 ** (1 / BLOCKS).
 BLOCKS = 2
-# Rare terms of a query, and documents of each of them for every wanted hit, that are
-# scored first. They decide how much is left out later, never the result.
+# Rare terms of a query, and documents for every wanted hit, that are scored first. They decide how much is left out later, never the result.
 RARE_TERMS = 16
 FIRST_DOCS = 2
 # Slices of the corpus over which one term is split in a shuffled join.
@@ -95,12 +94,23 @@ class PostingIndex:
             "query_id", "doc_id"
         ).distinct()
 
-    def thresholds(self, k: int) -> DataFrame:
-        """``(query_id, least)``: the ``k``-th of the first scores, 0 with fewer of them."""
+    def _kth(self, pairs: DataFrame, k: int) -> DataFrame:
         best = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
-        ranked = self.score(self.first_pairs(k)).withColumn("_n", F.row_number().over(best))
+        ranked = self.score(pairs).withColumn("_n", F.row_number().over(best))
         return ranked.filter(F.col("_n") == k).select("query_id", F.col("score").alias("least"))
 
+    def thresholds(self, k: int) -> DataFrame:
+        """``(query_id, least)``: the ``k``-th of the first scores, no row with fewer."""
+        return self._kth(self.first_pairs(k), k)
+
+    def raised(self, candidates: DataFrame, k: int) -> DataFrame:
+        """Thresholds from the candidates that the joined terms alone put first."""
+        best = Window.partitionBy("query_id").orderBy(F.desc("part"), "doc_id")
+        first = candidates.withColumn("_n", F.row_number().over(best)).filter(
+            F.col("_n") <= FIRST_DOCS * k
+        )
+        return self._kth(first.select("query_id", "doc_id"), k)
+
     def needed(self, thresholds: DataFrame) -> DataFrame:
         """``(query_id, term, block, asked, least, rest)``: what has to be joined.
 
@@ -139,7 +149,11 @@ class PostingIndex:
         """
         spark = self.postings.sparkSession
         thresholds = materialize(self.thresholds(k), shared_folder(spark, "thresholds"))
-        left = self.candidates(thresholds).filter(
+        looked_at = self.candidates(thresholds).filter(
             F.col("part") + F.col("rest") >= F.col("least") - SLACK
         )
+        kept = materialize(looked_at.drop("least"), shared_folder(spark, "candidates"))
+        raised = materialize(self.raised(kept, k), shared_folder(spark, "thresholds"))
+        possible = F.col("part") + F.col("rest") >= F.coalesce("least", F.lit(0.0)) - SLACK
+        left = kept.join(raised, "query_id", "left").filter(possible)
         return self.score(left.select("query_id", "doc_id"))

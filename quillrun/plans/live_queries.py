@@ -9,7 +9,7 @@ from quillrun.plans import rendering
 from quillrun.plans.run_log_queries import SQL_EVENTS
 from quillrun.session import shared_folder
 from quillrun.sources.tables import table
-from quillrun.streaming import live
+from quillrun.streaming import job_state, live
 
 QUERIES, ORACLES, register = registry()
 
@@ -92,6 +92,28 @@ def polling_monitor(spark, folder):
     return rows.withColumn("last_step", F.col("last_step").cast("double"))
 
 
+@register(
+    "q_94b_job_states",
+    f"""
+WITH {SQL_EVENTS.rstrip()},
+states AS (
+  SELECT job, count(*) FILTER (WHERE t = 'click') AS n_steps,
+    max(pos) FILTER (WHERE t = 'click') AS last_step, max(v) FILTER (WHERE t = 'click') AS slowest_ms,
+    coalesce(sum(1 + pos % 2) FILTER (WHERE t = 'error' AND u % 4 <> 1), 0)::BIGINT AS n_failures,
+    max(ts) AS last_seen
+  FROM e GROUP BY job
+)
+SELECT job, n_steps, last_step, slowest_ms, n_failures,
+  strftime(last_seen, '%Y-%m-%d %H:%M:%S') AS last_seen,
+  last_seen + INTERVAL 6 HOUR < (SELECT max(ts) FROM e) AS silent
+FROM states
+""",
+)
+def job_states(spark, folder):
+    states = job_state.job_states(_lines(spark, folder), "6 hours")
+    return states.withColumn("last_seen", F.date_format("last_seen", "yyyy-MM-dd HH:mm:ss"))
+
+
 @register(
     "q_95_live_failures",
     f"WITH {SQL_EVENTS.rstrip()} SELECT job, file, count(*) AS n_failures FROM failures "
