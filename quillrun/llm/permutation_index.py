@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillrun.llm.hits import (
-    hit_rows,
     lengthened,
     merge_hits,
     numbers,
@@ -43,30 +44,42 @@ def places(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
 class Shard:
     """The inverted files of a part of the rows: one for each pivot.
 
-    The file of a pivot holds its place in the order of every row of the shard.
+    A row is posted, with the place of the pivot in its order, in the files of the
+    ``posted`` pivots nearest to it, and in no others.
     """
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, pivots: np.ndarray, most: float):
+    def __init__(
+        self, ids: np.ndarray, vectors: np.ndarray, pivots: np.ndarray, most: float, posted: int
+    ):
         order = np.argsort(ids, kind="stable")
-        self.ids, self.vectors = ids[order], vectors[order]
-        self.files = np.ascontiguousarray(places(lengthened(self.vectors, most), pivots).T)
-
-    def search(self, own, query: np.ndarray, seen: np.ndarray, read: int, share: float, k: int):
+        self.ids, self.vectors, self.posted = ids[order], vectors[order], posted
+        seen = places(lengthened(self.vectors, most), pivots)
+        row, pivot = np.nonzero(seen < posted)
+        by_pivot = np.argsort(pivot, kind="stable")
+        self.rows, self.place = row[by_pivot], seen[row, pivot][by_pivot].astype(np.int32)
+        self.begins = np.searchsorted(pivot[by_pivot], np.arange(len(pivots) + 1))
+
+    def search(self, own, query: np.ndarray, seen: np.ndarray, read: int, share: float, k: int, refine: int):
         """The best ``(-score, id)`` of the rows that order the pivots most alike.
 
-        Reads the files of the ``read`` pivots nearest to the query and sums up how far
-        apart the places are (Spearman's footrule). The ``share`` of the rows with the
-        least sum, ties included, are compared by inner product.
+        Reads the files of the ``read`` pivots nearest to the query. A posting adds how
+        much closer than ``posted`` places apart both orders have its pivot: the footrule
+        distance, where a pivot that a row is not posted under counts ``posted``. The
+        ``share`` of the rows with the least distance, ``refine * k`` at least, ties
+        included, are compared by inner product.
         """
         near = np.argsort(seen, kind="stable")[:read]
-        footrule = np.abs(self.files[near] - seen[near, None]).sum(axis=0, dtype=np.int32)
-        take = min(len(self.ids), max(8 * k, int(np.ceil(share * len(self.ids)))))
-        bar = np.partition(footrule, take - 1)[take - 1]
-        chosen = np.flatnonzero((footrule <= bar) & (self.ids != own))
+        alike = np.zeros(len(self.ids), np.int32)
+        for place, pivot in enumerate(near.tolist()):
+            file = slice(self.begins[pivot], self.begins[pivot + 1])
+            alike[self.rows[file]] += np.maximum(0, self.posted - np.abs(self.place[file] - place))
+        take = min(len(self.ids), max(refine * k, int(np.ceil(share * len(self.ids)))))
+        bar = np.partition(alike, len(alike) - take)[len(alike) - take]
+        chosen = np.flatnonzero((alike >= bar) & (self.ids != own))
         # Row by row in one order, so that equal vectors get equal scores.
         scores = (self.vectors[chosen] * query).sum(axis=1) + 0.0
         best = np.lexsort((self.ids[chosen], -scores))[:k]
-        return [(-float(scores[b]), int(self.ids[chosen[b]])) for b in best]
+        return [(-float(scores[b]), self.ids[chosen[b]].item()) for b in best]
 
 
 def nearest_by_permutation(
@@ -76,27 +89,28 @@ def nearest_by_permutation(
     key: str = "vec_id",
     vector: str = "embedding",
     pivots: int = 256,
-    read: int = 128,
-    share: float = 0.25,
+    posted: int = 96,
+    read: int = 64,
+    share: float = 0.2,
+    refine: int = 8,
     sample_rows: int = 2_048,
-    shard_rows: int = 4_096,
-    least_shards: int = 16,
-    query_rows: int = 1_024,
+    shard_rows: int = 16_384,
 ) -> DataFrame:
     """``(query_id, rank, key, score)``: ``k`` rows of large inner product per query.
 
-    Every row is represented by the order in which it sees the pivots, and posted with
-    its place in the file of each pivot; files are kept by shards of about ``shard_rows``
-    rows. A query reads the files of the ``read`` pivots nearest to it, ranks the rows by
-    footrule distance and compares the best ``share`` of each shard by the exact inner
-    product of the original vectors in double precision. Ties go to the smaller key.
-    Pivots come from ``sample_rows`` rows at most; every row is indexed.
+    Every row is represented by its ``posted`` nearest pivots in their order, and posted
+    in the files of these; files are kept by shards of about ``shard_rows`` rows. A query
+    reads the files of the ``read`` pivots nearest to it, ranks rows by footrule distance
+    and compares the best ``share`` of each shard, ``refine * k`` rows at least, by the
+    exact inner product of the original vectors in double precision. Ties go to the
+    smaller key. Pivots come from ``sample_rows`` rows at most; every row is indexed.
+    Rows are shuffled once: queries are sent to the shards and stream past each of them.
 
     Vectors that are null, zero, or have null or non-finite components take no part,
     neither as queries; short vectors count as filled with zeros. Candidates are all rows
     but those with the query's own key; repeated rows are candidates each; of queries
-    with one key the least vector counts. Fewer candidates than ``k`` are all returned
-    while a shard has no more than ``8 * k`` rows. No queries or rows give no rows.
+    with one key the least vector counts. Fewer candidates than ``k`` are all returned.
+    No queries or rows give no rows.
     """
     good = lambda df: df.select(
         F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v")
@@ -105,45 +119,58 @@ def nearest_by_permutation(
     asked = good(queries).groupBy("id").agg(F.min("v").alias("v"))
     squares = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
     known = rows.agg(F.max(squares), F.max(F.size("v")), F.count("*")).first()
-    asked_of = asked.agg(F.max(F.size("v")), F.count("*")).first()
     most = float(known[0] or 0.0) ** 0.5
-    dimension = max(int(known[1] or 0), int(asked_of[0] or 0))
-    shards = max(least_shards, -(-known[2] // shard_rows))
-    slices = -(-max(1, asked_of[1]) // query_rows)
+    dimension = max(int(known[1] or 0), int(asked.agg(F.max(F.size("v"))).first()[0] or 0))
+    shards = max(1, -(-known[2] // shard_rows))
     taught = padded(sample(rows, "id", "v", sample_rows), dimension, np.float64)
     centres = choose_pivots(lengthened(taught, most), pivots)
-
     kind = rows.schema["id"].dataType.simpleString()
-    stock = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards))).select(
-        "shard", numbers(slices).alias("slice"), "id", "v"
-    )
-    asks = asked.withColumn("slice", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(slices))).select(
-        numbers(shards).alias("shard"), "slice", "id", "v"
-    )
 
-    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found = [[]] * len(left)
-        if len(left) and len(right):
-            shard = Shard(
-                right["id"].to_numpy(),
-                padded(right["v"].tolist(), dimension, np.float64),
-                centres,
-                most,
-            )
-            matrix = padded(left["v"].tolist(), dimension, np.float64)
-            seen = places(np.hstack([matrix, np.zeros((len(matrix), 1))]), centres)
-            found = [
-                shard.search(own, query, order, read, share, k)
-                for own, query, order in zip(left["id"].tolist(), matrix, seen, strict=True)
-            ]
-        return hit_rows(left, "shard", found)
-
-    hits = (
-        asks.groupBy("shard", "slice")
-        .cogroup(stock.groupBy("shard", "slice"))
-        .applyInPandas(search, f"id {kind}, shard long, hits array<struct<neg: double, id: {kind}>>")
-    )
-    merged = merge_hits(hits.filter("size(hits) > 0"), "id", "shard", shards, k)
+    stock = rows.select(F.pmod(F.xxhash64("id"), F.lit(shards)).alias("shard"), F.lit(0).alias("asks"), "id", "v")
+    asks = asked.select(numbers(shards).alias("shard"), F.lit(1).alias("asks"), "id", "v")
+    records = stock.unionByName(asks).repartition("shard").sortWithinPartitions("shard", "asks")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of each shard the rows come first, then the queries."""
+        at, parts, shard = None, [], None
+        for batch in batches:
+            ids = batch.column("id").to_numpy(zero_copy_only=False)
+            number = batch.column("shard").to_numpy(zero_copy_only=False)
+            asking = batch.column("asks").to_numpy(zero_copy_only=False)
+            matrix = padded(batch.column("v").to_pylist(), dimension, np.float64)
+            out: list[list] = [[], [], []]
+            cuts = np.flatnonzero(np.diff(number) != 0) + 1
+            for begin, end in zip([0, *cuts], [*cuts, len(number)], strict=True):
+                if number[begin] != at:
+                    at, parts, shard = number[begin], [], None
+                first = begin + int(np.searchsorted(asking[begin:end], 1))
+                if first > begin:
+                    parts.append((ids[begin:first], matrix[begin:first]))
+                if first == end:
+                    continue
+                if shard is None and parts:
+                    shard = Shard(*map(np.concatenate, zip(*parts, strict=True)), centres, most, posted)
+                    parts = []
+                if shard is None:
+                    continue
+                own = matrix[first:end]
+                seen = places(np.hstack([own, np.zeros((len(own), 1))]), centres)
+                for name, query, order in zip(ids[first:end], own, seen, strict=True):
+                    found = shard.search(name, query, order, read, share, k, refine)
+                    if found:
+                        out[0].append(name)
+                        out[1].append(int(at))
+                        out[2].append([{"neg": n, "id": i} for n, i in found])
+            if out[0]:
+                id_type = batch.column("id").type
+                hit = pa.list_(pa.struct([("neg", pa.float64()), ("id", id_type)]))
+                types = (id_type, pa.int64(), hit)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x, t) for x, t in zip(out, types, strict=True)], ["id", "shard", "hits"]
+                )
+
+    hits = records.mapInArrow(search, f"id {kind}, shard long, hits array<struct<neg: double, id: {kind}>>")
+    merged = merge_hits(hits, "id", "shard", shards, k)
     return ranked(
         merged.withColumnRenamed("id", "query_id"), "query_id", key, -F.col("hit.neg") + 0.0, "double"
     )

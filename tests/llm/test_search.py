@@ -101,7 +101,7 @@ def test_permutation_recall(spark, common):
     rows = [(i, p.tolist()) for i, p in enumerate(points)]
     queries = rows[::20]
     found = permutation_index.nearest_by_permutation(
-        frame(spark, rows, "embedding"), frame(spark, queries, "embedding"), 20, least_shards=4
+        frame(spark, rows, "embedding"), frame(spark, queries, "embedding"), 20, shard_rows=400
     ).collect()
     by_query = {}
     for r in found:
