@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillrun.functions import text as tx
-from quillrun.session import shuffle_width
+from quillrun.session import shared_folder, shuffle_width
+from quillrun.sources.tables import materialize
 
 
 def _dealt(df: DataFrame) -> DataFrame:
@@ -30,33 +31,40 @@ def fit_text_classifier(
 ) -> PipelineModel:
     """Linear classifier over TF-IDF words for a column of class names.
 
-    Rows stay where they are; each step sums the gradients of all partitions in a
-    tree. What reaches the driver is the vocabulary and the weights, both bounded by
-    ``vocab_size``, the most frequent words that are features (Spark's default). Rows without a class are left out of the training, and the model
+    Texts are read and split into words once, and so are words counted: both are stored
+    in the shared folder, and the passes of the solver read the counts. Each step sums the
+    gradients of all partitions in a tree. What reaches the driver is the vocabulary and
+    the weights, both bounded by ``vocab_size``, the most frequent words that are features
+    (Spark's default). Rows without a class are left out of the training, and the model
     needs no class column when it is applied.
     """
-    stages = [
-        StringIndexer(
-            inputCol=label, outputCol="_label", stringOrderType="alphabetAsc", handleInvalid="skip"
-        ),
-        SQLTransformer(
-            statement=f"SELECT *, regexp_extract_all(lower(`{text}`), r'{tx.WORD}', 0) AS _words "
-            "FROM __THIS__"
-        ),
-        CountVectorizer(inputCol="_words", outputCol="_counts", vocabSize=vocab_size),
-        IDF(inputCol="_counts", outputCol="_features"),
-        LogisticRegression(
-            featuresCol="_features",
-            labelCol="_label",
-            probabilityCol="probability",
-            predictionCol="prediction",
-            maxIter=max_iter,
-            regParam=reg,
-        ),
-    ]
-    indexer, *rest = Pipeline(stages=stages).fit(_dealt(df)).stages
+    spark = df.sparkSession
+    store = lambda rows, name: materialize(rows, shared_folder(spark, name))
+    splitter = SQLTransformer(
+        statement=f"SELECT *, regexp_extract_all(lower(`{text}`), r'{tx.WORD}', 0) AS _words "
+        "FROM __THIS__"
+    )
+    labelled = df.select(F.col(label).alias(label), F.col(text).alias(text)).filter(F.col(label).isNotNull())
+    words = store(splitter.transform(_dealt(labelled)).select(label, "_words"), "words")
+    indexer = StringIndexer(
+        inputCol=label, outputCol="_label", stringOrderType="alphabetAsc", handleInvalid="skip"
+    ).fit(words)
+    vectorizer = CountVectorizer(inputCol="_words", outputCol="_counts", vocabSize=vocab_size).fit(words)
+    counts = store(
+        vectorizer.transform(indexer.transform(words)).select("_label", "_counts"), "word-counts"
+    )
+    idf = IDF(inputCol="_counts", outputCol="_features").fit(counts)
+    solver = LogisticRegression(
+        featuresCol="_features",
+        labelCol="_label",
+        probabilityCol="probability",
+        predictionCol="prediction",
+        maxIter=max_iter,
+        regParam=reg,
+    )
+    weights = solver.fit(idf.transform(counts))
     names = IndexToString(inputCol="prediction", outputCol="predicted", labels=indexer.labels)
-    return PipelineModel(stages=[*rest, names])
+    return PipelineModel(stages=[splitter, vectorizer, idf, weights, names])
 
 
 def classify(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
