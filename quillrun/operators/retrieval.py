@@ -1,9 +1,10 @@
 """Lexical retrieval for many queries at once.
 
 The corpus is spread by document before its text is taken apart. Term counts,
-weights and norms of a document are then built inside one partition. The best scores are
-found over postings with bounds (`top_scores`): pairs that share only frequent terms are
-not scored. A query batch that is proven small is broadcast to the postings; a larger one
+weights and norms of a document are then built inside one partition. Where there are few
+pairs of query and document, all that share a term are scored. Where there are many, the
+best scores are found over postings with bounds (`top_scores`), and pairs that share only
+frequent terms are not scored. A query batch that is proven small is broadcast to the postings; a larger one
 meets them in a shuffled join on the term, in which every term is split over slices of the
 corpus, so that a frequent term is never one task's work.
 """
@@ -26,6 +27,8 @@ BROADCAST_QUERIES = 20_000
 BROADCAST_CHARS = 1_000_000
 # Slices of the corpus over which one term is split in the shuffled join.
 TERM_SLICES = 32
+# Up to so many pairs of query and document, scoring all of them is the shorter way.
+DIRECT_PAIRS = 20_000_000
 # Scores are compared at this many places, so that float noise cannot swap ties.
 SCORE_PLACES = 9
 
@@ -180,11 +183,16 @@ def retrieve(
     text: str = "text",
     max_features: int = MAX_FEATURES,
     small: bool | None = None,
+    pruned: bool | None = None,
 ) -> DataFrame:
     """Best ``k`` documents of a corpus per query, by TF-IDF cosine or token overlap.
 
-    ``small`` skips the measuring of the query batch when the caller knows it.
+    ``small`` skips the measuring of the query batch when the caller knows it. ``pruned``
+    says whether postings with bounds are used; by default, where there are more than
+    ``DIRECT_PAIRS`` pairs of query and document. The rows are the same.
     """
+    if pruned is None:
+        pruned = corpus.count() * queries.count() > DIRECT_PAIRS
     if small is None:
         small = batch_is_small(queries, text)
     if kind == "tfidf":
@@ -198,9 +206,8 @@ def retrieve(
         asked = overlap_weights(queries, query_key, text)
     else:
         raise ValueError("kind must be 'tfidf' or 'overlap'")
-    scores = PostingIndex(
-        docs.withColumnRenamed(key, "doc_id"), asked.withColumnRenamed(query_key, "query_id"), small
-    ).best(k)
+    docs, asked = docs.withColumnRenamed(key, "doc_id"), asked.withColumnRenamed(query_key, "query_id")
+    scores = PostingIndex(docs, asked, small).best(k) if pruned else cosine_scores(docs, asked, small)
     return top_k(
         scores,
         queries.select(F.col(query_key).alias("query_id")),

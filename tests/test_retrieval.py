@@ -75,12 +75,12 @@ def tables(spark):
     return corpus, asked
 
 
-@pytest.mark.parametrize("small", [True, False, None])
+@pytest.mark.parametrize("small,pruned", [(True, True), (False, True), (None, None), (False, False)])
 @pytest.mark.parametrize("kind,max_features", [("tfidf", 20_000), ("tfidf", 12), ("overlap", 0)])
-def test_hits_equal_brute_force(tables, small, kind, max_features):
+def test_hits_equal_brute_force(tables, small, pruned, kind, max_features):
     corpus, asked = tables
     hits = retrieval.retrieve(
-        corpus, asked, K, kind, max_features=max_features or 1, small=small
+        corpus, asked, K, kind, max_features=max_features or 1, small=small, pruned=pruned
     ).collect()
     expected = brute_hits(brute_tfidf(max_features) if kind == "tfidf" else brute_overlap(), K)
     assert {(h.query_id, h.rank): (h.doc_id, round(h.score, 9)) for h in hits} == expected
