@@ -1,7 +1,7 @@
 """Lexical retrieval for many queries at once.
 
-The corpus is spread by document before its text is taken apart. Term counts,
-weights and norms of a document are then built inside one partition. Where there are few
+Terms are counted as numbers in Arrow batches. The weights of a text are built inside its
+row, and the row is spread by document for the norm. Where there are few
 pairs of query and document, all that share a term are scored. Where there are many, the
 best scores are found over postings with bounds (`top_scores`), and pairs that share only
 frequent terms are not scored. A query batch that is proven small is broadcast to the postings; a larger one
@@ -11,11 +11,15 @@ corpus, so that a frequent term is never one task's work.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillrun.functions import text as tx
 from quillrun.functions.arrays import run_lengths
+from quillrun.operators import term_codes
 from quillrun.operators.top_scores import PostingIndex
 from quillrun.session import shared_folder
 from quillrun.sources.tables import materialize
@@ -55,45 +59,154 @@ def term_counts(texts: DataFrame, key: str, text: str, ngrams=(1, 2)) -> DataFra
     )
 
 
+def stored_words(texts: DataFrame, key: str, text: str) -> DataFrame:
+    """``(key, text)`` with the words of every text, a space between them, stored once.
+
+    What counts terms takes such a table with ``split=True`` and reads it as it is.
+    """
+    words = F.concat_ws(" ", tx.words(F.col(text)))
+    return materialize(
+        texts.select(key, words.alias(text)), shared_folder(texts.sparkSession, "words")
+    )
+
+
+def frequent_words(words: DataFrame, text: str, max_features: int) -> tuple[list[str], int] | None:
+    """``(words, least)``: all words of stored words that can be in one of the ``max_features`` terms.
+
+    A pair of words is no more frequent than either of them, so what is less frequent
+    than the last of ``max_features`` words is in none of the terms. None says that more
+    than twice as many words are as frequent as that one.
+    """
+    counts = (
+        words.select(text)
+        .mapInArrow(term_codes.count_words, "word string, n long")
+        .groupBy("word")
+        .agg(F.sum("n").alias("n"))
+        .orderBy(F.desc("n"), "word")
+        .limit(2 * max_features + 1)
+        .collect()
+    )
+    least = counts[max_features - 1]["n"] if len(counts) >= max_features else 1
+    if len(counts) > 2 * max_features and counts[-1]["n"] == least:
+        return None
+    return [r["word"] for r in counts if r["n"] >= least], least
+
+
+def _frequent_term_counts(
+    stored: DataFrame, text: str, words: list[str], least: int, ngrams=(1, 2)
+) -> DataFrame:
+    """``(term, n, df)`` of all terms of the given words that occur ``least`` times."""
+    spark = stored.sparkSession
+    counts = (
+        stored.select(text)
+        .mapInArrow(
+            lambda batches: term_codes.count_codes(batches, pa.array(words, pa.string()), ngrams),
+            "code long, n long, df long",
+        )
+        .groupBy("code")
+        .agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
+        .filter(F.col("n") >= least)
+    )
+    names = spark.createDataFrame(pa.table({"place": range(len(words)), "word": words}))
+    first, second = (F.broadcast(names).select(F.col("place").alias(c), F.col("word").alias("_" + c)) for c in "ab")
+    return (
+        counts.withColumn("a", F.expr(f"code div {len(words)} - 1"))
+        .withColumn("b", F.col("code") % len(words))
+        .join(first, "a", "left")
+        .join(second, "b")
+        .select(F.concat_ws(" ", "_a", "_b").alias("term"), "n", "df")
+    )
+
+
 def fit_tfidf(
-    corpus: DataFrame, key: str, text: str, max_features: int = MAX_FEATURES, ngrams=(1, 2)
+    corpus: DataFrame,
+    key: str,
+    text: str,
+    max_features: int = MAX_FEATURES,
+    ngrams=(1, 2),
+    split: bool = False,
 ) -> DataFrame:
-    """Fitted space ``(term, n, df, idf)`` of the most frequent terms."""
+    """Fitted space ``(term, n, df, idf)`` of the most frequent terms, stored once.
+
+    Words are counted first; of the pairs, only those of words that are frequent enough
+    are counted, as numbers. Where too many words are equally frequent, and where there
+    are pairs alone, all terms are counted as strings.
+    """
     n_docs = corpus.agg(F.count(F.lit(1)).cast("double").alias("n_docs")).scalar()
-    kept = (
-        term_counts(corpus, key, text, ngrams)
-        .groupBy("term")
-        .agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("df"))
-        .orderBy(F.desc("n"), "term")
-        .limit(max_features)
-    )
+    corpus = corpus if split else stored_words(corpus, key, text)
+    found = frequent_words(corpus, text, max_features) if ngrams[0] == 1 else None
+    if found and found[0]:
+        counts = _frequent_term_counts(corpus, text, *found, ngrams)
+    else:
+        counts = (
+            term_counts(corpus, key, text, ngrams)
+            .groupBy("term")
+            .agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("df"))
+        )
+    kept = counts.orderBy(F.desc("n"), "term").limit(max_features)
     idf = F.log((n_docs + 1) / (F.col("df") + 1)) + 1
-    return kept.select("term", "n", "df", idf.alias("idf"))
+    return materialize(
+        kept.select("term", "n", "df", idf.alias("idf")),
+        shared_folder(corpus.sparkSession, "fitted"),
+    )
 
 
 def _weights_and_norms(
-    texts: DataFrame, fitted: DataFrame, key: str, text: str, ngrams=(1, 2)
+    texts: DataFrame, fitted: DataFrame, key: str, text: str, ngrams=(1, 2), split: bool = False
 ) -> DataFrame:
-    known = (
-        term_counts(texts, key, text, ngrams)
-        .join(fitted.select("term", "idf"), "term")
-        .select(key, "term", (F.col("tf") * F.col("idf")).alias("_w"))
+    """``(key, term, norm, weight)``; a text crosses the network as one row of numbers."""
+    spark = texts.sparkSession
+    space = [
+        (r["term"].split(" "), r["term"], r["idf"])
+        for r in fitted.select("term", "idf").collect()
+        if r["term"].count(" ") < 2
+    ]
+    words = sorted({word for parts, _, _ in space for word in parts})
+    place = {word: i for i, word in enumerate(words)}
+    code = lambda parts: sum((place[w] + (i < len(parts) - 1)) * len(words) ** (len(parts) - 1 - i)
+                             for i, w in enumerate(parts))
+    space = sorted((code(parts), term, idf) for parts, term, idf in space)
+    schema = T.StructType(
+        [
+            texts.schema[key],
+            T.StructField("_terms", T.ArrayType(T.StructType().add("place", T.IntegerType()).add("w", T.DoubleType()))),
+            T.StructField("_squares", T.DoubleType()),
+        ]
     )
-    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
-    return known.withColumn("norm", norm).select(
-        key, "term", "norm", (F.col("_w") / F.col("norm")).alias("weight")
+    names = spark.createDataFrame(
+        pa.table(
+            [pa.array(range(len(space)), pa.int32()), pa.array([t for _, t, _ in space], pa.string())],
+            ["place", "term"],
+        )
+    )
+    codes = np.array([c for c, _, _ in space], dtype=np.int64)
+    idf = np.array([v for _, _, v in space], dtype=np.float64)
+
+    def weigh(batches):
+        if len(codes):
+            known = pa.array(words, pa.string())
+            yield from term_codes.weigh_codes(batches, known, codes, idf, ngrams, schema.names)
+
+    norm = F.sqrt(F.sum("_squares").over(Window.partitionBy(key)))
+    spaced = F.col(text) if split else F.concat_ws(" ", tx.words(F.col(text)))
+    return (
+        texts.select(key, spaced)
+        .mapInArrow(weigh, schema)
+        .select(key, "_terms", norm.alias("norm"))
+        .select(key, "norm", F.inline("_terms"))
+        .join(F.broadcast(names), "place")
+        .select(key, "term", "norm", (F.col("w") / F.col("norm")).alias("weight"))
     )
 
 
 def tfidf_weights(
-    texts: DataFrame, fitted: DataFrame, key: str, text: str, ngrams=(1, 2)
+    texts: DataFrame, fitted: DataFrame, key: str, text: str, ngrams=(1, 2), split: bool = False
 ) -> DataFrame:
     """``(key, term, weight)``: tf times idf, each text scaled to length 1.
 
-    Terms outside the fitted space drop out. That space carries its row limit, from
-    which Catalyst decides about a broadcast.
+    Terms outside the fitted space drop out. That space goes to all tasks.
     """
-    return _weights_and_norms(texts, fitted, key, text, ngrams).drop("norm")
+    return _weights_and_norms(texts, fitted, key, text, ngrams, split).drop("norm")
 
 
 def _meet_on_term(doc_terms: DataFrame, query_terms: DataFrame, small: bool) -> DataFrame:
@@ -196,10 +309,9 @@ def retrieve(
     if small is None:
         small = batch_is_small(queries, text)
     if kind == "tfidf":
-        fitted = materialize(
-            fit_tfidf(corpus, key, text, max_features), shared_folder(corpus.sparkSession, "fitted")
-        )
-        docs = _weights_and_norms(corpus, fitted, key, text).withColumnRenamed("norm", "size")
+        words = stored_words(corpus, key, text)
+        fitted = fit_tfidf(words, key, text, max_features, split=True)
+        docs = _weights_and_norms(words, fitted, key, text, split=True).withColumnRenamed("norm", "size")
         asked = tfidf_weights(queries, fitted, query_key, text)
     elif kind == "overlap":
         docs = overlap_weights(corpus.select(key, text).repartition(key), key, text)

@@ -153,9 +153,9 @@ def tfidf_fit(spark, folder):
     f"WITH {SQL_TFIDF} SELECT doc_id, term, round(weight, 6) AS weight FROM doc_weights",
 )
 def tfidf_documents(spark, folder):
-    corpus = _corpus(spark, folder)
-    fitted = retrieval.fit_tfidf(corpus, "doc_id", "text")
-    return retrieval.tfidf_weights(corpus, fitted, "doc_id", "text").withColumn(
+    words = retrieval.stored_words(_corpus(spark, folder), "doc_id", "text")
+    fitted = retrieval.fit_tfidf(words, "doc_id", "text", split=True)
+    return retrieval.tfidf_weights(words, fitted, "doc_id", "text", split=True).withColumn(
         "weight", F.round("weight", 6)
     )
 
@@ -179,10 +179,11 @@ def tfidf_queries(spark, folder):
     "FROM tfidf_scores GROUP BY query_id",
 )
 def cosine(spark, folder):
-    corpus, asked = _corpus(spark, folder), _asked(spark, folder)
-    fitted = retrieval.fit_tfidf(corpus, "doc_id", "text")
+    words = retrieval.stored_words(_corpus(spark, folder), "doc_id", "text")
+    asked = _asked(spark, folder)
+    fitted = retrieval.fit_tfidf(words, "doc_id", "text", split=True)
     scores = retrieval.cosine_scores(
-        retrieval.tfidf_weights(corpus, fitted, "doc_id", "text"),
+        retrieval.tfidf_weights(words, fitted, "doc_id", "text", split=True),
         retrieval.tfidf_weights(asked, fitted, "query_id", "text"),
         retrieval.batch_is_small(asked, "text"),
     )

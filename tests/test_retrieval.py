@@ -178,3 +178,63 @@ def test_corpus_stats(tables):
     corpus, _ = tables
     row = retrieval.corpus_stats(corpus, retrieval.fit_tfidf(corpus, "doc_id", "text", 12)).first()
     assert (row.kind, row.n_docs, row.n_terms) == ("tfidf", len(DOCS), 12)
+
+
+@pytest.mark.parametrize("max_features", [5, 40, 300, 10_000])
+def test_fit_counts_pairs_of_frequent_words_alone(spark, max_features):
+    """Ties in words and pairs included: all words of the second half are found once."""
+    draw = random.Random(3)
+    common = [f"w{i}" for i in range(30)]
+    texts = [" ".join(draw.choices(common, k=12)) for _ in range(40)]
+    texts += [f"once{2 * i} once{2 * i + 1}" for i in range(60)] + [None, "", "Ünder ünder x"]
+    corpus = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    n, df = Counter(), Counter()
+    for text in texts:
+        n.update(terms(text or ""))
+        df.update(set(terms(text or "")))
+    kept = sorted(n, key=lambda t: (-n[t], t.encode()))[:max_features]
+    fitted = retrieval.fit_tfidf(corpus, "doc_id", "text", max_features).collect()
+    assert {r["term"]: (r["n"], r["df"]) for r in fitted} == {t: (n[t], df[t]) for t in kept}
+    found = retrieval.frequent_words(
+        retrieval.stored_words(corpus, "doc_id", "text"), "text", max_features
+    )
+    if found is not None:
+        assert {w for t in kept for w in t.split(" ")} <= set(found[0])
+        assert all(n[w] >= found[1] for w in found[0])
+
+
+def test_weights_are_built_without_rows_of_unknown_terms(spark, rows):
+    """Rows that share a key share its norm; a text is one row until its norm is known."""
+    texts = [(1, "cat dog cat"), (1, "cat sea"), (None, "dog"), (None, "sea sea"), (2, "x"), (3, None)]
+    corpus = spark.createDataFrame(texts, "doc_id long, text string")
+    fitted = spark.createDataFrame(
+        [("cat", 2.0), ("dog cat", 3.0), ("sea", 1.0)], "term string, idf double"
+    )
+    weights = retrieval.tfidf_weights(corpus, fitted, "doc_id", "text")
+    root = math.sqrt(4**2 + 3**2 + 2**2 + 1**2)
+    found = [(k, t, round(w * (root if k else 1), 9)) for k, t, w in rows(weights)]
+    assert sorted(found, key=str) == sorted(
+        [(1, "cat", 4.0), (1, "dog cat", 3.0), (1, "cat", 2.0), (1, "sea", 1.0), (None, "sea", 1.0)],
+        key=str,
+    )
+    plan = weights._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and plan.index("inline") < plan.index("Window")
+
+
+def test_term_codes_in_slices(monkeypatch):
+    import pyarrow as pa
+
+    from quillrun.operators import term_codes
+
+    texts = ["aa bb aa bb", None, "", "bb", "cc aa bb zz"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["words"])
+    monkeypatch.setattr(term_codes, "SLICE_BYTES", 12)
+    assert [b.num_rows for b in term_codes.in_slices([batch], 0)] == [3, 1, 1]
+    n, df = Counter(), Counter()
+    for part in term_codes.count_codes([batch], pa.array(["aa", "bb", "cc"]), (1, 2)):
+        for code, a, b in zip(*(c.to_pylist() for c in part.columns)):
+            n[code] += a
+            df[code] += b
+    # aa, bb, cc, aa bb, bb aa, cc aa
+    assert n == {0: 3, 1: 4, 2: 1, 4: 3, 6: 1, 9: 1}
+    assert df == {0: 2, 1: 3, 2: 1, 4: 2, 6: 1, 9: 1}
