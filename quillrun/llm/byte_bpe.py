@@ -12,6 +12,7 @@ import base64
 import json
 import re
 from functools import lru_cache
+from itertools import filterfalse, islice
 
 import numpy as np
 import tiktoken
@@ -82,9 +83,11 @@ class ByteBpe:
     def _plain(self, text: str) -> bytes:
         if UNSAFE.search(text):
             return np.asarray(self.ordinary(text), dtype="<u4").tobytes()
-        head, *rest = text.split(" ")
-        first = np.asarray(self.ordinary(head), dtype="<u4").tobytes()
-        return first + b"".join(map(self.words.__getitem__, rest))
+        return self._joined(text.split(" "))
+
+    def _joined(self, parts: list[str]) -> bytes:
+        first = np.asarray(self.ordinary(parts[0]), dtype="<u4").tobytes()
+        return first + b"".join(map(self.words.__getitem__, islice(parts, 1, None)))
 
     def encode_all(self, values: list[str]):
         """``encode`` of each text; their unknown words are first encoded together."""
@@ -93,18 +96,30 @@ class ByteBpe:
             part.append(value)
             size += len(value)
             if size > 4_000_000:
-                self._learn(part)
-                yield from map(self.encode, part)
+                yield from self._encode_part(part)
                 part, size = [], 0
-        self._learn(part)
-        yield from map(self.encode, part)
-
-    def _learn(self, values: list[str]) -> None:
-        found = set().union(*(value.split(" ")[1:] for value in values))
-        new = found - self.words.keys()
+        yield from self._encode_part(part)
+
+    def _encode_part(self, values: list[str]):
+        """A text is split once; its words keep their hashes from one look to the next."""
+        split = [
+            None
+            if self.cut and any(s in value for s in self.special) or UNSAFE.search(value)
+            else value.split(" ")
+            for value in values
+        ]
+        self._learn([parts for parts in split if parts])
+        for value, parts in zip(values, split, strict=True):
+            yield self._joined(parts) if parts else self.encode(value)
+
+    def _learn(self, texts: list[list[str]]) -> None:
+        known = self.words.__contains__
+        new = set()
+        for parts in texts:
+            new.update(filterfalse(known, islice(parts, 1, None)))
         if len(new) + len(self.words) > self.words.entries:
             self.words.clear()
-            new = found
+            new = set().union(*(islice(parts, 1, None) for parts in texts))
         # Joined by spaces, words without white space in front keep their ids, and every
         # word starts with the only token that starts with a space.
         new = [w for w in new if w and not w[0].isspace() and len(w) <= 64]

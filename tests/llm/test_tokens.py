@@ -169,3 +169,20 @@ def test_codec_query_and_empty_table(spark, docs_of, folder, real_texts, rank_li
             hashlib.sha256(as_bytes(ids)).hexdigest(),
             hashlib.sha256(real_texts[r.doc_id].encode()).hexdigest(),
         )
+
+
+def test_texts_are_split_once():
+    class Counted(str):
+        splits = 0
+
+        def split(self, *args):
+            Counted.splits += 1
+            return str.split(self, *args)
+
+    ours = byte_bpe.ByteBpe.__new__(byte_bpe.ByteBpe)
+    ours.__dict__.update(byte_bpe.from_json(BYTE, P.PATTERN).__dict__)
+    ours.words = byte_bpe.Words(ours.ordinary, 4)
+    values = ["one two two three", "", "two  spaces", "four five six seven one", " ends ", "far   apart"]
+    found = list(ours.encode_all([Counted(v) for v in values]))
+    assert Counted.splits == 5  # the last one is encoded whole
+    assert [list(memoryview(ids).cast("I")) for ids in found] == [ours.ordinary(v) for v in values]
