@@ -10,6 +10,7 @@ from quillrun.functions.arrays import let
 # What counts as white space, a word, a line end, and the preview.
 WHITE_SPACE = r"[\s\x1c-\x1f\x85\p{Z}]+"
 WORD = r"[\p{L}\p{N}_]{2,}"
+NO_WORD = r"[^\p{L}\p{N}_]+"
 LINE_END = r"\r\n|\r|\n"
 PREVIEW_CHARS = 80
 PREVIEW_TAIL = " ..."
@@ -30,6 +31,11 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
+def spaced_words(text: Column) -> Column:
+    """One text of the ``words`` with a space between them, and words of one character too."""
+    return F.regexp_replace(F.lower(text), NO_WORD, " ")
+
+
 def bigrams(tokens: Column) -> Column:
     """Neighbouring tokens of an array column joined by a space."""
     n_pairs = F.greatest(F.size(tokens) - 1, F.lit(0))

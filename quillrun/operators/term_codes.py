@@ -118,3 +118,31 @@ def weigh_codes(
             ],
             names,
         )
+
+
+# How Spark keeps a vector; kind 0 is a sparse one.
+VECTOR = pa.struct(
+    [
+        pa.field("type", pa.int8(), False),
+        ("size", pa.int32()),
+        ("indices", pa.list_(pa.field("element", pa.int32(), False))),
+        ("values", pa.list_(pa.field("element", pa.float64(), False))),
+    ]
+)
+
+
+def count_vectors(batches: Iterable[pa.RecordBatch], known: pa.Array, names: list[str]):
+    """All rows; the last column, words between spaces, becomes the vector of their counts."""
+    for batch in in_slices(batches, len(names) - 1):
+        rows = batch.num_rows
+        row, place, n = runs(*codes(batch.column(len(names) - 1), known, (1, 1)), 32)
+        offsets = pa.array(np.searchsorted(row, np.arange(rows + 1)).astype(np.int32))
+        indices, values = (
+            pa.ListArray.from_arrays(offsets, pa.array(v.astype(kind)), type=VECTOR.field(name).type)
+            for v, kind, name in ((place, np.int32, "indices"), (n, np.float64, "values"))
+        )
+        size = np.full(rows, len(known), np.int32)
+        vectors = pa.StructArray.from_arrays(
+            [pa.array(np.zeros(rows, np.int8)), pa.array(size), indices, values], fields=list(VECTOR)
+        )
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], vectors], names)

@@ -69,8 +69,9 @@ def _by_split(scored, classes, predicted: str, label: str, bars: dict[str, float
 def text_classifier(spark, folder):
     """Trained on the train split, applied to all documents, measured on every split."""
     docs = _texts(spark, folder).withColumn("split", split_name(F.col("doc_id"), SHARES))
-    model = learn.fit_text_classifier(docs.filter(F.col("split") == "train"), "text", "lang")
-    scored = learn.classify(model, docs, ["doc_id", "split", "lang"])
+    _, scored = learn.fit_and_classify(
+        docs, "text", "lang", F.col("split") == "train", ["doc_id", "split", "lang"]
+    )
     return _by_split(scored, docs, "predicted", "lang", dict.fromkeys(SHARES, 0.9))
 
 

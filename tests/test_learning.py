@@ -56,6 +56,50 @@ def test_text_classifier_learns_saves_and_loads(spark, news, tmp_path):
     assert again.filter("topic = predicted").count() == news.count()
 
 
+def test_text_classifier_counts_words_once_for_training_and_scoring(spark, news):
+    """The predictions of the model applied to texts, though no text is split again."""
+    odd = [(900, None, "sport"), (901, "", "tech"), (902, "VOTE a vote, état_1 x 7 ball", None)]
+    rows = news.unionByName(spark.createDataFrame(odd, news.schema))
+    train = F.col("id") % 4 != 0
+    model, scored = learn.fit_and_classify(
+        rows, "text", "topic", train, ["id", "topic"], vocab_size=100, max_iter=10
+    )
+    assert "_text" not in scored.columns and "regexp" not in scored._jdf.queryExecution().toString()
+    readable = rows.filter("text IS NOT NULL")
+    again = learn.classify(model, readable, ["id", "topic"])
+    found = sorted(map(tuple, scored.filter("id <> 900").collect()), key=str)
+    assert found == sorted(map(tuple, again.collect()), key=str)
+    assert scored.count() == rows.count() and scored.filter("id = 900 AND predicted IS NOT NULL").count() == 1
+    fitted = learn.fit_text_classifier(readable.filter(train), "text", "topic", vocab_size=100, max_iter=10)
+    assert sorted(fitted.stages[1].vocabulary) == sorted(model.stages[1].vocabulary)
+    assert "vote" in fitted.stages[1].vocabulary and "x" not in fitted.stages[1].vocabulary
+
+
+def test_text_classifier_counts_as_the_vectorizer_does(spark, monkeypatch):
+    """Word counts by Arrow are those of CountVectorizer over the split texts."""
+    from quillrun.functions import text as tx
+    from quillrun.operators import term_codes
+
+    monkeypatch.setattr(term_codes, "SLICE_BYTES", 20)
+    texts = ["Été ÉTÉ un_1 a bb", "", "bb, bb; x bb\n\tcc", "\U0001d7d8 \U0001d7d8\U0001d7d9 日本 日 İi", "the the cc"]
+    data = [(i, t, "ab"[i % 2]) for i, t in enumerate(texts)]
+    rows = spark.createDataFrame(data, "id long, text string, name string")
+    model, counts = learn._fit_on_counts(rows, "text", "name", F.lit(True), ["id"], 1000, 2, 0.1)
+    want = {w for r in rows.select(tx.words(F.col("text")).alias("w")).collect() for w in r.w}
+    assert set(model.stages[1].vocabulary) == want
+    split = model.stages[1].transform(model.stages[0].transform(rows))
+    assert {r.id: r._counts for r in counts.collect()} == {r.id: r._counts for r in split.collect()}
+
+
+def test_text_classifier_words_are_frequent_ones_and_ties_go_by_word(spark):
+    data = [("zz zz zz dd cc", "p"), ("zz bb aa bb aa", "q"), ("ee ff gg hh", "q")]
+    rows = spark.createDataFrame(data, "text string, name string")
+    for size, words in ((1, {"zz"}), (2, {"zz", "aa"}), (4, {"zz", "aa", "bb", "cc"})):
+        model = learn.fit_text_classifier(rows, "text", "name", vocab_size=size, max_iter=2)
+        assert set(model.stages[1].vocabulary) == words
+        assert model.stages[1].vocabulary[0] == "zz"
+
+
 def test_head_on_features(spark):
     data = [(i, [float(i % 2), 1.0 - i % 2, 0.1], i % 2) for i in range(40)]
     df = spark.createDataFrame(data, "id long, f array<float>, label int")
